@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import perplexity
+from . import decontaminate, mixing, neardup, perplexity, rans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +22,29 @@ def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "lang", "source", "n_chars", "n_units", "perplexity", "ppl_low", "ppl_high")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, dup_of): each document that duplicates another, and the one that stays."""
+    return neardup.groups(_table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mix."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, score, first_word, last_word): each document that holds a test item."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as coded blocks of token ids."""
+    return rans.blocks(_table(spark, sf_dir, "documents"))[0]
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_perplexity": op2_perplexity}
+    here = [op2_perplexity, op3_simhash, op6_mixing, op7_decontamination, op10_rans]
+    return {f.__name__: f for f in here}
 
 
 def oracle_sql() -> dict[str, str]:
