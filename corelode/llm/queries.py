@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, neardup, perplexity, rans
+from . import decontaminate, linededup, mixing, neardup, perplexity, pii, rans, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as WARC, read back and verified."""
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
 def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the perplexity bands keep, with score and band."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
@@ -37,15 +42,34 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the line chunks that another document holds first."""
+    return linededup.clean(_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with validated personal values replaced by pseudonyms."""
+    return pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+
+
 def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as coded blocks of token ids."""
     return rans.blocks(_table(spark, sf_dir, "documents"))[0]
 
 
 def queries() -> dict[str, Query]:
-    here = [op2_perplexity, op3_simhash, op6_mixing, op7_decontamination, op10_rans]
+    here = [op1_warc, op2_perplexity, op3_simhash, op6_mixing, op7_decontamination, op8_linededup, op9_pii, op10_rans]
     return {f.__name__: f for f in here}
 
 
+ORACLE = {
+    "op1_warc": """
+        SELECT page_id, url, html, true AS block_ok, true AS payload_ok,
+               CAST(strlen(html) AS BIGINT) AS n_bytes
+        FROM pages
+    """,
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
