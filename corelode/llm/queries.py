@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, mixing, neardup, perplexity, pii, rans, warc
+from . import decontaminate, linededup, mixing, neardup, perplexity, pii, quotes, rans, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The content of every page under the wrapper inferred for its host."""
+    return wrappers.extract(_table(spark, sf_dir, "pages"))
+
+
+def op5_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in reply order, without quotes."""
+    return quotes.threads(_table(spark, sf_dir, "conversations"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of the mix."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
@@ -58,7 +68,7 @@ def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    here = [op1_warc, op2_perplexity, op3_simhash, op6_mixing, op7_decontamination, op8_linededup, op9_pii, op10_rans]
+    here = [op1_warc, op2_perplexity, op3_simhash, op4_wrappers, op5_quotes, op6_mixing, op7_decontamination, op8_linededup, op9_pii, op10_rans]
     return {f.__name__: f for f in here}
 
 
