@@ -71,6 +71,32 @@ def knapsack(costs: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     return take
 
 
+def leave_out(costs: np.ndarray, counts: np.ndarray, excess: int) -> np.ndarray:
+    """How many of each cost to leave out so that their sum is the least that reaches ``excess``."""
+    upto = excess + int(costs.max())
+    out = np.zeros(len(costs), dtype=np.int64)
+    mask = (1 << (upto + 1)) - 1
+    reach, pieces, states = 1, [], []
+    for i in np.argsort(-costs, kind="stable"):
+        cost, left, size = int(costs[i]), int(min(counts[i], upto // max(int(costs[i]), 1))), 1
+        while left > 0 and cost > 0:
+            n = min(size, left)
+            states.append(reach)
+            pieces.append((int(i), n, n * cost))
+            reach |= (reach << (n * cost)) & mask
+            left -= n
+            size *= 2
+        if reach >> excess & 1:
+            break
+    above = reach >> excess
+    at = excess + (above & -above).bit_length() - 1
+    for (i, n, cost), before in zip(reversed(pieces), reversed(states)):
+        if not before >> at & 1:
+            out[i] += n
+            at -= cost
+    return out
+
+
 def fit_budget(costs: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Counts to take per cost: an even share of each, then the knapsack for the rest.
 
@@ -83,6 +109,8 @@ def fit_budget(costs: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
         return counts.copy()
     if budget <= 0:
         return np.where(costs == 0, counts, 0)
+    if total - budget <= ROOM:  # little is left out: choose that instead
+        return counts - leave_out(costs, counts, total - budget)
     room = min(budget, max(ROOM, 2 * int(costs.max())))
     share = (budget - room) / total
     base = np.floor(counts * share).astype(np.int64)
