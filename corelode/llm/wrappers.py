@@ -13,8 +13,8 @@ expression of tags, slots, ``( )+`` and ``( )?``, without unions.
   pages, not with their number; a hot host is no hot task.
 * The wrapper is compiled into a regular expression over one symbol a token and
   matched against every page; a slot keeps all the texts it captures.
-* A slot that holds one and the same text on all pages of a host with at least two
-  pages is template text and is left out of the extracted text.
+* A slot that holds one and the same text wherever it occurs, on at least two pages
+  of the host, is template text and is left out of the extracted text.
 
 Defined results: pages with a null URL or one without a host share the host ``''``;
 null and empty pages yield the empty text; a page that the wrapper does not match
@@ -368,7 +368,7 @@ def wrappers(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
 
 def parse(pages: DataFrame, known: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(page_id, url, host, matched, slots, texts) of every page under its host's wrapper."""
+    """(page_id, url, host, matched, slots, texts, row) of every page under its host's wrapper."""
     narrow = _narrow(pages, page_id, url, html)
     kind = dict(narrow.dtypes)["page_id"]
 
@@ -379,7 +379,10 @@ def parse(pages: DataFrame, known: DataFrame, page_id: str = "page_id", url: str
     joined = narrow.withColumn("host", host(F.coalesce("url", F.lit("")))).join(known.select("host", "wrapper"), "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         compiled: dict[str, Compiled] = {}
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             matched, slots, texts = [], [], []
             for h, w in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
@@ -391,18 +394,19 @@ def parse(pages: DataFrame, known: DataFrame, page_id: str = "page_id", url: str
                 matched.append(s is not None or not labels)
                 slots.append(s if s is not None else [-1] * len(t))
                 texts.append(t)
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(matched), pa.array(slots, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))], ["page_id", "url", "host", "matched", "slots", "texts"])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(matched), pa.array(slots, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string())), pa.array(range(number, number + batch.num_rows), pa.int64())], ["page_id", "url", "host", "matched", "slots", "texts", "row"])
+            number += batch.num_rows
 
-    return joined.select("page_id", "url", "host", "html", "wrapper").mapInArrow(run, f"page_id {kind}, url string, host string, matched boolean, slots array<int>, texts array<string>")
+    return joined.select("page_id", "url", "host", "html", "wrapper").mapInArrow(run, f"page_id {kind}, url string, host string, matched boolean, slots array<int>, texts array<string>, row long")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, host, matched, n_slots, text): the texts of each page that are not template."""
     known = shared.written(wrappers(pages, page_id, url, html), "html-wrappers")
     parsed = shared.written(parse(pages, known, page_id, url, html), "html-parsed")
-    every = parsed.filter("matched").select("host", F.explode(F.arrays_zip("slots", "texts")).alias("z")).select("host", F.col("z.slots").alias("slot"), F.xxhash64("z.texts").alias("h"))
-    fixed = every.groupBy("host", "slot").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.count(F.lit(1)).alias("k"))
-    fixed = shared.written(fixed.filter("a = b and k > 1").groupBy("host").agg(F.collect_set("slot").alias("fixed")), "html-fixed")
+    every = parsed.filter("matched").select("host", "row", F.explode(F.arrays_zip("slots", "texts")).alias("z")).select("host", "row", F.col("z.slots").alias("slot"), F.xxhash64("z.texts").alias("h"))
+    fixed = every.groupBy("host", "slot").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.min("row").alias("r0"), F.max("row").alias("r1"))
+    fixed = shared.written(fixed.filter("a = b and r0 <> r1").groupBy("host").agg(F.collect_set("slot").alias("fixed")), "html-fixed")
     out = parsed.join(fixed, "host", "left").withColumn("fixed", F.coalesce("fixed", F.array().cast("array<int>")))
     kept = F.filter(F.arrays_zip("slots", "texts"), lambda z: ~F.array_contains(F.col("fixed"), z["slots"]))
     text = F.array_join(F.transform(kept, lambda z: z["texts"]), "\n")
