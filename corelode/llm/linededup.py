@@ -9,9 +9,10 @@ Multi-line chunks whose hash occurs more than once in the corpus are compared
 byte by byte; of each set of equal chunks the one in the smallest
 (doc_id, chunk) stays and the others are removed.
 
-Only (hash, count) pairs, and the bytes of repeated chunks, are shuffled before
-the removal.  The set of repeated hashes is looked up from every task while it
-has at most ``MAX_LOCAL_HASHES`` entries and is joined beyond that.
+Only (hash, count) pairs and the bytes of repeated chunks are shuffled.  While the
+repeated chunks number at most ``MAX_LOCAL_HASHES``, every task looks them up (by
+hash, then by digest of the compared bytes) and the texts stay where they are;
+beyond that the chunks to remove are joined to their documents.
 
 Defined results: a null text stays null and an empty one empty; single-line
 chunks are never removed; a text may become empty; a row with a null ``doc_id``
@@ -22,6 +23,7 @@ table.  A column named ``removed_lines`` in the input is replaced.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 
 from . import scan, shared
 
-MAX_LOCAL_HASHES = 8_000_000
+MAX_LOCAL_HASHES = 4_000_000
 
 
 class Chunks:
@@ -132,15 +134,56 @@ def occurrences(narrow: DataFrame, hashes: DataFrame, max_local_hashes: int = MA
     return narrow.mapInArrow(every, schema).join(hashes, "hash", "left_semi").select(*names)
 
 
-def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_local_hashes: int = MAX_LOCAL_HASHES) -> DataFrame:
-    """(doc_id, gone): per document the (number, hash) of each chunk to remove."""
-    narrow = _narrow(docs, text, doc_id)
-    hashes = shared.written(repeated_hashes(narrow), "ld-hashes")
-    seen = shared.written(occurrences(narrow, hashes, max_local_hashes).dropDuplicates(["doc_id", "seq", "chunk"]), "ld-seen")
-    # equal bytes, not equal hashes, make a group
-    stays = seen.groupBy("hash", "chunk").agg(F.min(F.struct("doc_id", "seq")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    gone = seen.join(stays, ["hash", "chunk"]).filter(F.struct("doc_id", "seq") > F.col("first"))
-    return gone.groupBy("doc_id").agg(F.collect_set(F.struct("seq", "hash")).alias("gone"))
+def keepers(seen: DataFrame) -> DataFrame:
+    """(hash, chunk, first, last) of every chunk that occurs in more than one place.
+
+    Equal bytes, not equal hashes, make a group; ``first`` is the place that stays.
+    """
+    place = F.struct("doc_id", "seq")
+    return seen.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
+
+
+def _cut(texts: pa.Array, rows: np.ndarray, gone) -> tuple[pa.Array, np.ndarray]:
+    """The texts without the chunks of ``rows`` for which ``gone(row, chunks, k)``; lines removed."""
+    removed = np.zeros(len(texts), dtype=np.int64)
+    changed: dict[int, str] = {}
+    for r in rows.tolist():
+        c = Chunks(texts.slice(r, 1))
+        away = {k for k in range(len(c.seq)) if c.lines[k] > 1 and gone(r, c, k)}
+        if away:
+            removed[r] = int(c.lines[sorted(away)].sum())
+            changed[r] = b"\n".join(c.bytes_of(k) for k in range(len(c.seq)) if k not in away).decode()
+    if changed:
+        out = texts.to_pylist()
+        for r, t in changed.items():
+            out[r] = t
+        texts = pa.array(out, pa.string())
+    return texts, removed
+
+
+class _Local:
+    """The chunks that repeat and where each stays, as arrays sorted by hash."""
+
+    def __init__(self, stays: DataFrame):
+        t = stays.select("hash", F.unhex(F.md5("chunk")).alias("digest"), F.col("first.doc_id").alias("doc_id"), F.col("first.seq").alias("seq")).toArrow()
+        order = np.argsort(t["hash"].to_numpy(), kind="stable")
+        self.hash = t["hash"].to_numpy()[order]
+        self.digest = np.frombuffer(b"".join(t["digest"].to_pylist()), dtype="V16")[order]
+        self.doc = t["doc_id"].to_numpy()[order]
+        self.seq = t["seq"].to_numpy()[order]
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hash):
+            return np.zeros(len(h), dtype=bool)
+        return self.hash[np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)] == h
+
+    def stays_at(self, h: int, chunk: bytes) -> tuple | None:
+        lo, hi = np.searchsorted(self.hash, h, side="left"), np.searchsorted(self.hash, h, side="right")
+        d = hashlib.md5(chunk).digest() if hi > lo else b""
+        for k in range(lo, hi):  # more than one only where hashes collide
+            if self.digest[k].tobytes() == d:
+                return self.doc[k], int(self.seq[k])
+        return None
 
 
 def clean(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_local_hashes: int = MAX_LOCAL_HASHES) -> DataFrame:
@@ -148,33 +191,51 @@ def clean(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_local
     docs = docs.drop("removed_lines")
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    columns = inner.columns
     t, d = f"c{names.index(text)}", f"c{names.index(doc_id)}"
-    gone = shared.written(removals(inner, t, d, max_local_hashes), "ld-gone").withColumnRenamed("doc_id", d)
-    joined = inner.join(gone, d, "left").select(*inner.columns, "gone")
+    narrow = _narrow(inner, t, d)
+    hashes = shared.written(repeated_hashes(narrow), "ld-hashes")
+    seen = occurrences(narrow, hashes, max_local_hashes)
     schema = T.StructType([*[T.StructField(f.name, T.StringType() if f.name == t else f.dataType) for f in inner.schema.fields], T.StructField("removed_lines", T.LongType())])
-    at = inner.columns.index(t)
+    at = columns.index(t)
+
+    def rebuilt(batch: pa.RecordBatch, texts: pa.Array, removed: np.ndarray) -> pa.RecordBatch:
+        cols = [texts if k == at else batch.column(k) for k in range(len(names))]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(removed)], [*columns, "removed_lines"])
+
+    stays = shared.written(keepers(seen), "ld-stays")
+    if stays.count() <= max_local_hashes:
+        sent = docs.sparkSession.sparkContext.broadcast(_Local(stays))
+
+        def scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = sent.value
+            for batch in batches:
+                texts, ids = batch.column(t).cast(pa.string()), batch.column(d)
+                valid = ids.is_valid().to_numpy(zero_copy_only=False)
+                touched = [np.zeros(0, np.int64)]
+                for i, j in scan.slices(texts):
+                    c = Chunks(texts.slice(i, j - i))
+                    touched.append(np.unique(c.row[(c.lines > 1) & known.has(c.hash)]) + i)
+                rows = np.concatenate(touched)
+
+                def gone(r: int, c: Chunks, k: int) -> bool:
+                    place = known.stays_at(int(c.hash[k]), c.bytes_of(k))
+                    return place is not None and place != (ids[r].as_py(), int(c.seq[k]))  # noqa: B023
+
+                yield rebuilt(batch, *_cut(texts, rows[valid[rows]], gone))
+
+        return inner.mapInArrow(scan_all, schema).toDF(*names, "removed_lines")
+
+    here = F.struct("doc_id", "seq")
+    away = seen.join(stays.select("hash", "chunk", "first"), ["hash", "chunk"]).filter(here != F.col("first"))
+    away = away.groupBy("doc_id").agg(F.collect_set(F.struct("seq", "hash")).alias("gone"))
+    joined = inner.join(shared.written(away, "ld-gone").withColumnRenamed("doc_id", d), d, "left").select(*columns, "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(t).cast(pa.string())
-            removed = np.zeros(batch.num_rows, dtype=np.int64)
             lists = batch.column("gone")
-            touched = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False))
-            if len(touched):
-                out = texts.to_pylist()
-                for r in touched.tolist():
-                    if out[r]:
-                        cut = {(x["seq"], x["hash"]) for x in lists[r].as_py()}
-                        c = Chunks(texts.slice(r, 1))
-                        away = [k for k in range(len(c.seq)) if (int(c.seq[k]), int(c.hash[k])) in cut]
-                        gone_k = set(away)
-                        removed[r] = int(c.lines[away].sum()) if away else 0
-                        kept = [c.bytes_of(k) for k in range(len(c.seq)) if k not in gone_k]
-                        if away:
-                            out[r] = b"\n".join(kept).decode()
-                texts = pa.array(out, pa.string())
-            cols = [batch.column(k) for k in range(len(names))]
-            cols[at] = texts
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(removed)], [f.name for f in schema.fields])
+            rows = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False) & batch.column(t).is_valid().to_numpy(zero_copy_only=False))
+            cut = {r: {(x["seq"], x["hash"]) for x in lists[r].as_py()} for r in rows.tolist()}
+            yield rebuilt(batch, *_cut(batch.column(t).cast(pa.string()), rows, lambda r, c, k: (int(c.seq[k]), int(c.hash[k])) in cut[r]))  # noqa: B023
 
     return joined.mapInArrow(run, schema).toDF(*names, "removed_lines")
