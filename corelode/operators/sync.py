@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as ar
+from ..lineage import checkpointed
 from . import graph
 
 SAMPLE, CONCEPT = "MaterialSampleRecord", "IdentifiedConcept"
@@ -45,7 +46,7 @@ def mint(new: DataFrame, start: int, *order: str, name: str = "row_id") -> DataF
     """
     spark = new.sparkSession
     parts = new.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
-    parts = parts.withColumn("_p", F.spark_partition_id()).checkpoint() if spark.sparkContext.getCheckpointDir() else parts.withColumn("_p", F.spark_partition_id()).persist()
+    parts = checkpointed(parts.withColumn("_p", F.spark_partition_id()))
     counts = {r["_p"]: r["n"] for r in parts.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a partition
     before, at = {}, start
     for p in sorted(counts):
@@ -141,13 +142,13 @@ def orphans(wide: DataFrame, removed: DataFrame, kept_types: Sequence[str] = (SA
     e = graph.wide_edges(wide).select("s", "o").distinct().persist()
     types = wide.select(F.col("row_id").cast("long").alias("row_id"), "otype")
     gone = graph.of_type(wide, SAMPLE).join(removed, "pid", "left_semi").select(F.col("row_id").cast("long").alias("row_id"))
-    gone = _cut(gone)
+    gone = checkpointed(gone)
     size = gone.count()
     for _ in range(MAX_PASSES):
         touched = e.join(gone.withColumnRenamed("row_id", "s"), "s", "left_semi").select(F.col("o").alias("row_id")).distinct()
         touched = touched.join(gone, "row_id", "left_anti").join(types.filter(~F.col("otype").isin(list(kept_types))), "row_id", "left_semi")
         held = e.join(gone.withColumnRenamed("row_id", "s"), "s", "left_anti").select(F.col("o").alias("row_id"))
-        gone = _cut(gone.union(touched.join(held, "row_id", "left_anti")))
+        gone = checkpointed(gone.union(touched.join(held, "row_id", "left_anti")))
         now = gone.count()
         if now == size:
             e.unpersist()
@@ -156,13 +157,6 @@ def orphans(wide: DataFrame, removed: DataFrame, kept_types: Sequence[str] = (SA
     raise SyncError("the removal did not settle")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint where a folder for them is set; else the rows are persisted."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df.persist()
-
-
 def subgraph(theirs: DataFrame, added: DataFrame) -> DataFrame:
     """(row_id): the new samples and all they lead to, concepts apart (those are matched by URI)."""
     e = graph.wide_edges(theirs)
@@ -212,10 +206,10 @@ def true_sync(ours: DataFrame, theirs: DataFrame, source: str, points: DataFrame
     entity = incoming.select(F.col("row_id").alias("old_id"), "otype", "pid")
     there = entity.join(known_others, ["otype", "pid"]).select("old_id", "new_id")
     to_mint = entity.join(there, "old_id", "left_anti").select("otype", "pid").distinct()
-    minted = _cut(mint(to_mint, at, "otype", "pid", name="new_id"))
+    minted = checkpointed(mint(to_mint, at, "otype", "pid", name="new_id"))
     at += minted.count()
     fresh = concept_rows.select("pid").distinct().join(known_concepts, "pid", "left_anti")
-    new_concepts = _cut(mint(fresh, at, "pid", name="new_id"))
+    new_concepts = checkpointed(mint(fresh, at, "pid", name="new_id"))
     concept_ids = known_concepts.unionByName(new_concepts.select("pid", "new_id"))
     mapping = there.unionByName(entity.join(minted, ["otype", "pid"]).select("old_id", "new_id")).unionByName(concept_rows.select(F.col("row_id").alias("old_id"), "pid").join(concept_ids, "pid").select("old_id", "new_id"))
     wanted = incoming.join(there.select(F.col("old_id").alias("row_id")), "row_id", "left_anti")
