@@ -33,7 +33,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +40,7 @@ from pyspark.sql import functions as F
 from . import neardup, scan, shared
 
 MIN_WORDS = 3
+OUT_ROWS = 5000
 _QUOTE = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)")
 _ATTRIBUTION = re.compile(r"^.{0,200}\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
@@ -190,16 +190,42 @@ def threads(conversations: DataFrame) -> DataFrame:
     # a message without conversation or turn is a thread of its own
     joined = joined.withColumn("alone", F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.col("mid")))
 
-    def arrange(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["turn", "conv_id", "role", "text"], kind="stable", na_position="first").reset_index(drop=True)
-        none = lambda x: None if pd.isna(x) else x
-        rows = [tuple(none(x) for x in r) for r in pdf[["conv_id", "turn", "parent_conv", "parent_turn"]].itertuples(index=False)]
-        placed = order(rows)
-        out = pdf.iloc[[k for k, _ in placed]].copy()
-        out["position"] = range(len(out))
-        out["depth"] = [d for _, d in placed]
-        out["text"] = [None if t is None or (isinstance(t, float) and np.isnan(t)) else own_text(lines(t)) for t in out["text"]]
-        return out[["thread_id", "position", "depth", "conv_id", "turn", "role", "parent_conv", "parent_turn", "text"]].astype(object).where(lambda d: d.notna(), None)
+    columns = ["thread_id", "alone", "conv_id", "turn", "role", "parent_conv", "parent_turn", "text"]
+    rows = joined.select(*columns).repartition("thread_id", "alone").sortWithinPartitions("thread_id", "alone", "turn", "conv_id", "role", "text")
+    names = ["thread_id", "position", "depth", "conv_id", "turn", "role", "parent_conv", "parent_turn", "text"]
+
+    def arrange(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types: list[pa.DataType] = []
+        thread: list[tuple] = []
+        done: list[tuple] = []
+
+        def close() -> None:
+            placed = order([(c, t, pc, pt) for _, _, c, t, _, pc, pt, _ in thread])
+            for position, (k, depth) in enumerate(placed):
+                root, _, c, t, role, pc, pt, text = thread[k]
+                if text and ">" in text:
+                    text = own_text(lines(text))
+                done.append((root, position, depth, c, t, role, pc, pt, text))
+            thread.clear()
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate(types)], names)
+            done.clear()
+            return out
+
+        for batch in batches:
+            kind = {c: batch.column(c).type for c in columns}
+            types = [kind["thread_id"], pa.int32(), pa.int32(), kind["conv_id"], kind["turn"], pa.string(), kind["parent_conv"], kind["parent_turn"], pa.string()]
+            for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+                if thread and row[:2] != thread[0][:2]:
+                    close()
+                    if len(done) >= OUT_ROWS:
+                        yield flush()
+                thread.append(row)
+        if thread:
+            close()
+        if done:
+            yield flush()
 
     schema = f"thread_id {kinds['conv_id']}, position int, depth int, conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, parent_conv {kinds['conv_id']}, parent_turn {kinds['turn']}, text string"
-    return joined.groupBy("thread_id", "alone").applyInPandas(arrange, schema)
+    return rows.mapInArrow(arrange, schema)
