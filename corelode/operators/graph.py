@@ -40,7 +40,11 @@ def first_edges(narrow: DataFrame) -> DataFrame:
 def wide_edges(wide: DataFrame, predicates: Sequence[str] | None = None) -> DataFrame:
     """(s, p, o) of a wide graph, in one pass over its relation columns."""
     cols = [c for c in relations(wide) if predicates is None or c[len(PREFIX) :] in predicates]
-    each = [F.transform(F.coalesce(c, F.array().cast("array<bigint>")), lambda o, c=c: F.struct(F.lit(c[len(PREFIX) :]).alias("p"), o.cast("long").alias("o"))) for c in cols]
+    def pairs(c: str):
+        name = F.lit(c[len(PREFIX) :]).alias("p")
+        return F.transform(F.coalesce(c, F.array().cast("array<bigint>")), lambda o: F.struct(name, o.cast("long").alias("o")))
+
+    each = [pairs(c) for c in cols]
     return wide.select(F.col("row_id").cast("long").alias("s"), F.explode(F.concat(*each)).alias("e")).select("s", "e.p", "e.o")
 
 

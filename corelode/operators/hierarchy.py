@@ -1,7 +1,7 @@
 """Concept trees: closure, membership, bits, masks and the complete index.
 
-The vocabulary is small next to the samples, so its closure is computed by a
-recursive query and the samples meet it in one equi-join.
+The vocabulary is small next to the samples, so its closure is taken first and the
+samples meet it in one equi-join.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from ..functions import fingerprint as fp
 
 MAX_DEPTH = 64
 MAX_BITS = 63
+MAX_LOCAL_NODES = 100_000
 SCHEMA_VERSION = 1
 
 
@@ -23,12 +24,32 @@ def parents_of(vocabulary: DataFrame, uri: str = "uri", broader: str = "broader"
     return vocabulary.groupBy(F.col(uri).alias("uri")).agg(F.min(broader).alias("parent_uri"))
 
 
-def closure(tree: DataFrame) -> DataFrame:
+def closure(tree: DataFrame, max_local: int = MAX_LOCAL_NODES) -> DataFrame:
     """(uri, ancestor_uri, distance): every node with all its ancestors, itself at 0.
 
-    The distance is bounded, so a cycle ends; :func:`check_tree` tells cycles.
+    Vocabularies are small: up to ``max_local`` nodes are walked in place, which costs
+    one small job; a larger tree is closed by a recursive query.  The distance is
+    bounded, so a cycle ends; :func:`check_tree` tells cycles.
     """
     spark = tree.sparkSession
+    rows = tree.select("uri", "parent_uri").limit(max_local + 1).collect()  # bounded
+    kind = tree.schema["uri"].dataType.simpleString()
+    if len(rows) <= max_local:
+        up = {r.uri: r.parent_uri for r in rows}
+        out = []
+        for uri in up:
+            at, n, seen = uri, 0, set()
+            while at is not None and at not in seen and n <= MAX_DEPTH:
+                out.append((uri, at, n))
+                seen.add(at)
+                at, n = up.get(at), n + 1
+        return spark.createDataFrame(out, f"uri {kind}, ancestor_uri {kind}, distance int")
+    return closure_by_query(tree)
+
+
+def closure_by_query(tree: DataFrame) -> DataFrame:
+    """The same by a recursive query, for trees of any size."""
+    spark = tree.sparkSession
     tree.select("uri", "parent_uri").createOrReplaceTempView("corelode_tree")
     return spark.sql(f"""
         WITH RECURSIVE up(uri, ancestor_uri, distance) AS (
