@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as ar
 from ..functions import geo
+from ..lineage import checkpointed
 from ..operators import clusters, facets, graph, hierarchy, quality
 
 DIMS = ("material", "context", "object_type")
@@ -107,11 +108,11 @@ class Build:
 
     @cached_property
     def samp_geo(self) -> DataFrame:
-        """Located samples with their cell at each resolution, kept for the seven artefacts that read it."""
+        """Located samples with their cell at each resolution; written down for the artefacts that read it."""
         located = self.samp.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
         for r in self.resolutions:
             located = located.withColumn(f"h3_res{r}", geo.cell(F.col("latitude"), F.col("longitude"), r))
-        return located.persist()
+        return checkpointed(located)
 
     @cached_property
     def tree(self) -> DataFrame:
@@ -119,11 +120,11 @@ class Build:
         cyclic = hierarchy.check_tree(t).limit(1).collect()  # one row
         if cyclic:
             raise ValueError(f"the vocabulary has a cycle at {cyclic[0][0]}")
-        return t.persist()
+        return checkpointed(t)
 
     @cached_property
     def closed(self) -> DataFrame:
-        return hierarchy.closure(self.tree).persist()
+        return hierarchy.closure(self.tree)
 
     @cached_property
     def root_rows(self) -> DataFrame:
@@ -139,7 +140,7 @@ class Build:
         asserted = rows.join(self.concepts.select("row_id", "uri"), "row_id").join(located, "pid", "left_semi")
         assigned = hierarchy.assign(self.closed, self.root_rows)
         depth = self.closed.groupBy("uri").agg((F.count(F.lit(1)) - 1).cast("int").alias("depth"))
-        return hierarchy.membership(asserted, self.closed, assigned, self.root_rows, depth).persist()
+        return checkpointed(hierarchy.membership(asserted, self.closed, assigned, self.root_rows, depth))
 
     def unreachable(self) -> DataFrame:
         return hierarchy.unreachable(self.tree, hierarchy.assign(self.closed, self.root_rows))
@@ -147,13 +148,14 @@ class Build:
     @cached_property
     def bits(self) -> DataFrame:
         b = hierarchy.node_bits(hierarchy.tree_summaries(self.member, self.tree))
+        b = checkpointed(b)
         hierarchy.check_bits(b)
         return b
 
     @cached_property
     def ids(self) -> DataFrame:
         """One row: the ids that tie the artefacts of this build together."""
-        return hierarchy.build_ids(self.member, self.samp_geo)
+        return checkpointed(hierarchy.build_ids(self.member, self.samp_geo))
 
     def table(self, name: str) -> DataFrame:
         """A derived table by name."""
