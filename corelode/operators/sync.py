@@ -139,7 +139,7 @@ def orphans(wide: DataFrame, removed: DataFrame, kept_types: Sequence[str] = (SA
     A row goes when something that goes refers to it and nothing that stays does; the
     set grows until it is stable.  Samples and concepts are never dragged along.
     """
-    e = graph.wide_edges(wide).select("s", "o").distinct().persist()
+    e = checkpointed(graph.wide_edges(wide).select("s", "o").distinct())
     types = wide.select(F.col("row_id").cast("long").alias("row_id"), "otype")
     gone = graph.of_type(wide, SAMPLE).join(removed, "pid", "left_semi").select(F.col("row_id").cast("long").alias("row_id"))
     gone = checkpointed(gone)
@@ -151,7 +151,6 @@ def orphans(wide: DataFrame, removed: DataFrame, kept_types: Sequence[str] = (SA
         gone = checkpointed(gone.union(touched.join(held, "row_id", "left_anti")))
         now = gone.count()
         if now == size:
-            e.unpersist()
             return gone
         size = now
     raise SyncError("the removal did not settle")
@@ -171,15 +170,17 @@ def subgraph(theirs: DataFrame, added: DataFrame) -> DataFrame:
 
 
 def remap_columns(rows: DataFrame, mapping: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``rows`` with every reference column translated by (old_id, new_id), in order; a lost reference raises."""
-    out = rows
-    for c in columns:
-        new = ar.remap(rows.select("row_id", c), "row_id", c, mapping).withColumnRenamed(c, "_new")
-        out = out.join(new, "row_id", "left")
-        lost = out.filter(F.coalesce(F.size(F.coalesce("_new", F.array().cast("array<bigint>"))), F.lit(0)) != F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)))
-        require_none(lost.select("row_id", F.lit(c)), "references without a target")
-        out = out.withColumn(c, F.col("_new")).drop("_new")
-    return out.select(*rows.columns)
+    """``rows`` with every reference column translated by (old_id, new_id), in order; a lost reference raises.
+
+    The columns are exploded together, so all of them cost one join.
+    """
+    each = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("array<bigint>").alias("a")) for c in columns])
+    flat = rows.select("row_id", F.explode(each).alias("z")).select("row_id", F.col("z.c").alias("c"), F.posexplode("z.a").alias("pos", "old_id"))
+    hit = checkpointed(flat.join(mapping, "old_id", "left"))
+    require_none(hit.filter("new_id is null").select("row_id", "c", "old_id"), "references without a target")
+    lists = hit.groupBy("row_id", "c").agg(ar.ordered_list(F.col("new_id"), F.col("pos")).alias("list"))
+    wide = lists.groupBy("row_id").pivot("c", list(columns)).agg(F.first("list"))
+    return rows.drop(*columns).join(wide, "row_id", "left").select(*rows.columns)
 
 
 def true_sync(ours: DataFrame, theirs: DataFrame, source: str, points: DataFrame | None = None) -> DataFrame:
@@ -193,12 +194,12 @@ def true_sync(ours: DataFrame, theirs: DataFrame, source: str, points: DataFrame
     require_unique(theirs, "row_id", "theirs")
     removed, added = difference(ours, theirs, source)
     gone = orphans(ours, removed)
-    keep = ours.join(gone, "row_id", "left_anti")
+    keep = checkpointed(ours.join(gone, "row_id", "left_anti"))
     cols = [c for c in graph.relations(ours) if c in theirs.columns]
     ids = subgraph(theirs, added)
-    incoming = theirs.withColumn("row_id", F.col("row_id").cast("long")).join(ids, "row_id", "left_semi")
+    incoming = checkpointed(theirs.withColumn("row_id", F.col("row_id").cast("long")).join(ids, "row_id", "left_semi"))
     used = graph.wide_edges(incoming, [c[len(graph.PREFIX) :] for c in cols]).select(F.col("o").alias("row_id")).distinct()
-    concept_rows = graph.of_type(theirs, CONCEPT).withColumn("row_id", F.col("row_id").cast("long")).join(used, "row_id", "left_semi")
+    concept_rows = checkpointed(graph.of_type(theirs, CONCEPT).withColumn("row_id", F.col("row_id").cast("long")).join(used, "row_id", "left_semi"))
     known_concepts = graph.of_type(keep, CONCEPT).groupBy("pid").agg(F.min(F.col("row_id").cast("long")).alias("new_id"))
     known_others = keep.filter(~F.col("otype").isin(SAMPLE, CONCEPT)).groupBy("otype", "pid").agg(F.min(F.col("row_id").cast("long")).alias("new_id"))
     at = next_id(ours)
@@ -211,10 +212,9 @@ def true_sync(ours: DataFrame, theirs: DataFrame, source: str, points: DataFrame
     fresh = concept_rows.select("pid").distinct().join(known_concepts, "pid", "left_anti")
     new_concepts = checkpointed(mint(fresh, at, "pid", name="new_id"))
     concept_ids = known_concepts.unionByName(new_concepts.select("pid", "new_id"))
-    mapping = there.unionByName(entity.join(minted, ["otype", "pid"]).select("old_id", "new_id")).unionByName(concept_rows.select(F.col("row_id").alias("old_id"), "pid").join(concept_ids, "pid").select("old_id", "new_id"))
+    mapping = checkpointed(there.unionByName(entity.join(minted, ["otype", "pid"]).select("old_id", "new_id")).unionByName(concept_rows.select(F.col("row_id").alias("old_id"), "pid").join(concept_ids, "pid").select("old_id", "new_id")))
     wanted = incoming.join(there.select(F.col("old_id").alias("row_id")), "row_id", "left_anti")
-    arrays = [c for c in cols]
-    moved = remap_columns(wanted.select(*wanted.columns), mapping, arrays)
+    moved = remap_columns(wanted, mapping, cols)
     moved = moved.join(mapping.select(F.col("old_id").alias("row_id"), F.col("new_id").alias("_id")), "row_id").withColumn("row_id", F.col("_id")).drop("_id").dropDuplicates(["row_id"])
     moved = moved.withColumn("n", F.lit(source))
     if points is not None:
@@ -223,7 +223,7 @@ def true_sync(ours: DataFrame, theirs: DataFrame, source: str, points: DataFrame
         moved = moved.drop(*[c for c in ("latitude", "longitude") if c in have]).join(points, "pid", "left")
     rows = concept_rows.join(new_concepts, "pid").withColumn("row_id", F.col("new_id")).drop("new_id").dropDuplicates(["pid"])
     rows = rows.drop(*[c for c in rows.columns if c.startswith(graph.PREFIX)])
-    out = keep.unionByName(conform(moved, ours)).unionByName(conform(rows, ours))
+    out = checkpointed(keep.unionByName(conform(moved, ours)).unionByName(conform(rows, ours)))
     check_sync(out, theirs, source, removed)
     return out
 
