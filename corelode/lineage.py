@@ -6,7 +6,8 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -22,3 +23,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
             atexit.register(shutil.rmtree, path, True)
         sc.setCheckpointDir(path)
     return df.checkpoint()
+
+
+def local(spark: SparkSession, rows: list[tuple], **kinds: pa.DataType) -> DataFrame:
+    """A small table whose size the planner knows, so that joins with it need no shuffle."""
+    columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds.values())]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=list(kinds)))

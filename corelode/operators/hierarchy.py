@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import fingerprint as fp
+from ..lineage import local
 
 MAX_DEPTH = 64
 MAX_BITS = 63
@@ -33,7 +36,6 @@ def closure(tree: DataFrame, max_local: int = MAX_LOCAL_NODES) -> DataFrame:
     """
     spark = tree.sparkSession
     rows = tree.select("uri", "parent_uri").limit(max_local + 1).collect()  # bounded
-    kind = tree.schema["uri"].dataType.simpleString()
     if len(rows) <= max_local:
         up = {r.uri: r.parent_uri for r in rows}
         out = []
@@ -43,7 +45,8 @@ def closure(tree: DataFrame, max_local: int = MAX_LOCAL_NODES) -> DataFrame:
                 out.append((uri, at, n))
                 seen.add(at)
                 at, n = up.get(at), n + 1
-        return spark.createDataFrame(out, f"uri {kind}, ancestor_uri {kind}, distance int")
+        of = to_arrow_type(tree.schema["uri"].dataType)
+        return local(spark, out, uri=of, ancestor_uri=of, distance=pa.int32())
     return closure_by_query(tree)
 
 

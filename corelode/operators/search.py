@@ -43,15 +43,16 @@ def fragments(samples: DataFrame, concept_links: DataFrame, concepts: DataFrame,
 
 
 def postings(frags: DataFrame, tokenizer=tx.tokens) -> DataFrame:
-    """(token, pid, field, tf, doc_len): fragments are tokenised where they are, documents summed after.
+    """(token, pid, field, tf, doc_len): fragments are tokenised where they are and gathered by document.
 
-    ``doc_len`` is the number of tokens of the document, from the same pass; both
-    numbers are clamped to 16 bits (see :func:`clamped`).
+    Counting tokens needs no second shuffle: the documents are partitioned by their key
+    already when their words are exploded.  Both numbers are clamped to 16 bits (see
+    :func:`clamped`).
     """
-    words = frags.select("pid", "field", F.explode(tokenizer(F.col("text"))).alias("token"))
-    tf = words.groupBy("pid", "field", "token").agg(F.count(F.lit(1)).alias("raw_tf"))
-    size = F.sum("raw_tf").over(Window.partitionBy("pid", "field"))
-    return tf.withColumn("raw_len", size).select("token", "pid", "field", F.least("raw_tf", F.lit(CLAMP)).cast("int").alias("tf"), F.least("raw_len", F.lit(CLAMP)).cast("int").alias("doc_len"))
+    docs = frags.select("pid", "field", tokenizer(F.col("text")).alias("w")).groupBy("pid", "field").agg(F.flatten(F.collect_list("w")).alias("w"))
+    words = docs.select("pid", "field", F.least(F.size("w"), F.lit(CLAMP)).cast("int").alias("doc_len"), F.explode("w").alias("token"))
+    tf = words.groupBy("pid", "field", "doc_len", "token").agg(F.count(F.lit(1)).alias("n"))
+    return tf.select("token", "pid", "field", F.least("n", F.lit(CLAMP)).cast("int").alias("tf"), "doc_len")
 
 
 def clamped(rows: DataFrame) -> DataFrame:

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays as ar
 from ..functions import geo
-from ..lineage import checkpointed
+from ..lineage import checkpointed, local
 from ..operators import clusters, facets, graph, hierarchy, quality
 
 DIMS = ("material", "context", "object_type")
@@ -128,7 +129,7 @@ class Build:
 
     @cached_property
     def root_rows(self) -> DataFrame:
-        return self.wide.sparkSession.createDataFrame(list(self.roots.items()), "facet_type string, root_uri string")
+        return local(self.wide.sparkSession, list(self.roots.items()), facet_type=pa.string(), root_uri=pa.string())
 
     @cached_property
     def member(self) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from ..functions import arrays as ar
 from ..functions import fingerprint as fp
 from ..functions import geo
 from ..functions import text as tx
+from ..lineage import local
 from ..operators import clusters, facets, graph, hierarchy, quality, search, setops, sync, views
 from ..operators import filters as fl
 from ..operators.filters import FilterState
@@ -152,7 +154,7 @@ FULL = f"{TREES}, {SAMPLES}, {MEMBER}, {MASKS}"
 
 def tree(spark, sf):
     r, n, o = _t(spark, sf, "region"), _t(spark, sf, "nation"), _t(spark, sf, "orders")
-    top = spark.createDataFrame([("world", None), ("ever", None)], "uri string, parent_uri string")
+    top = local(spark, [("world", None), ("ever", None)], uri=pa.string(), parent_uri=pa.string())
     a = r.select(F.concat(F.lit("r:"), "r_name"), F.lit("world"))
     b = n.join(r, n.n_regionkey == r.r_regionkey).select(F.concat(F.lit("n:"), "n_name"), F.concat(F.lit("r:"), "r_name"))
     year, quarter = F.year("o_orderdate").cast("string"), F.quarter("o_orderdate").cast("string")
@@ -163,7 +165,7 @@ def tree(spark, sf):
 
 
 def roots(spark):
-    return spark.createDataFrame(list(ROOTS.items()), "facet_type string, root_uri string")
+    return local(spark, list(ROOTS.items()), facet_type=pa.string(), root_uri=pa.string())
 
 
 def asserted(spark, sf):
@@ -186,6 +188,11 @@ def _bits(spark, sf):
 
 @query(f"{TREES} SELECT uri, ancestor_uri, min(distance) AS distance FROM closed GROUP BY uri, ancestor_uri")
 def tree_closure(spark, sf):
+    return hierarchy.closure(tree(spark, sf))
+
+
+@query(f"{TREES} SELECT uri, ancestor_uri, min(distance) AS distance FROM closed GROUP BY uri, ancestor_uri")
+def tree_closure_recursive(spark, sf):
     return hierarchy.closure_by_query(tree(spark, sf))
 
 
@@ -569,7 +576,7 @@ _SITE = f"SELECT o_orderkey + {S0} AS sample, o_custkey + {E0} AS event, n_regio
 @query(_DIRECT)
 def wide_direct_path(spark, sf):
     w = wide(spark, sf)
-    return graph.direct_path(w, graph.wide_edges(w)).select("sample", "event", "geo")
+    return graph.direct_path(w, graph.wide_edges(w, ["produced_by", "sample_location"])).select("sample", "event", "geo")
 
 
 @query(_DIRECT)
@@ -581,7 +588,7 @@ def narrow_direct_path(spark, sf):
 @query(_SITE)
 def wide_site_path(spark, sf):
     w = wide(spark, sf)
-    return graph.site_path(w, graph.wide_edges(w)).select("sample", "event", "site", "geo")
+    return graph.site_path(w, graph.wide_edges(w, ["produced_by", "sampling_site", "site_location"])).select("sample", "event", "site", "geo")
 
 
 @query(_SITE)
@@ -702,14 +709,14 @@ def field_stats(spark, sf):
 
 @query(f"WITH {_WORDS} SELECT pid, round(sum(c), 6) AS score FROM contrib WHERE token IN ('that', 'thing') GROUP BY pid HAVING count(DISTINCT token) = 2")
 def search_and(spark, sf):
-    rows = search.with_df(_postings(spark, sf))
-    stats = search.field_stats(_postings(spark, sf))
+    p = _postings(spark, sf).persist()
+    rows, stats = search.with_df(p), search.field_stats(p)
     return search.rank(search.scored(rows, stats, ["that", "thing"]), ["that", "thing"], None).withColumn("score", F.round("score", 6))
 
 
 @query(f"WITH {_WORDS} SELECT pid, round(s, 6) AS score FROM (SELECT pid, sum(c) AS s FROM contrib WHERE token IN ('with', 'src3') GROUP BY pid HAVING count(DISTINCT token) = 2 ORDER BY s DESC, pid LIMIT 50)".replace("'with'", "'thing'"))
 def bm25_top(spark, sf):
-    p = _postings(spark, sf)
+    p = _postings(spark, sf).persist()
     return search.answer("the thing src3", search.with_df(p), search.field_stats(p), search.Manifest()).withColumn("score", F.round("score", 6))
 
 
@@ -720,7 +727,7 @@ def hot_tokens(spark, sf):
 
 @query(f"WITH {_WORDS}, hot AS (SELECT token FROM post GROUP BY token HAVING count(*) > 200), per AS (SELECT token, pid, sum(c) AS s FROM contrib JOIN hot USING (token) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY s DESC, pid) AS rank FROM per) SELECT token, CAST(count(*) AS BIGINT) AS n, CAST(max(rank) AS BIGINT) AS last_rank, round(max(s), 4) AS best FROM r WHERE rank <= 500 GROUP BY token")
 def hot_topk(spark, sf):
-    p = _postings(spark, sf)
+    p = _postings(spark, sf).persist()
     top = search.hot_topk(search.with_df(p), search.field_stats(p), search.hot_tokens(p, 200))
     return top.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max("rank").cast("long").alias("last_rank"), F.max("static_score").alias("best"))
 
