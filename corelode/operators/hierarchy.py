@@ -102,14 +102,17 @@ def membership(asserted: DataFrame, closed: DataFrame, assigned: DataFrame, root
     """(pid, facet_type, concept_uri, depth): samples with all ancestors of their concepts.
 
     Of the asserted concepts (pid, facet_type, uri) the root of the dimension does not
-    count; ancestors count in the dimension of the assertion only.
+    count; ancestors count in the dimension of the assertion only.  A concept brings its
+    ancestors as one array, so what is shuffled is one row an assertion; the rows
+    come out partitioned by sample, as later steps want them.
     """
     root = roots.select("facet_type", F.col("root_uri").alias("uri"))
-    real = asserted.select(key, "facet_type", "uri").join(root, ["facet_type", "uri"], "left_anti")
     same = assigned.select(F.col("uri").alias("ancestor_uri"), "facet_type")
+    node = F.struct("facet_type", F.col("ancestor_uri").alias("concept_uri"), "depth")
     wide = closed.select("uri", "ancestor_uri").join(same, "ancestor_uri").join(depth.select(F.col("uri").alias("ancestor_uri"), "depth"), "ancestor_uri")
-    out = real.join(wide, ["uri", "facet_type"]).select(key, "facet_type", F.col("ancestor_uri").alias("concept_uri"), "depth")
-    return out.distinct()
+    above = wide.groupBy("uri", "facet_type").agg(F.array_sort(F.collect_list(node)).alias("up")).join(root, ["uri", "facet_type"], "left_anti")
+    per = asserted.select(key, "facet_type", "uri").join(above, ["uri", "facet_type"]).groupBy(key).agg(F.array_distinct(F.flatten(F.collect_list("up"))).alias("up"))
+    return per.select(key, F.explode("up").alias("z")).select(key, "z.facet_type", "z.concept_uri", "z.depth")
 
 
 def tree_summaries(member: DataFrame, tree: DataFrame, key: str = "pid") -> DataFrame:
