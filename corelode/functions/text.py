@@ -19,7 +19,7 @@ FNV_OFFSET, FNV_PRIME = 2166136261, 16777619
 
 
 def tokenise(text: str | None) -> list[str]:
-    """Search tokens of a text: compatibility-folded, lower case, without marks.
+    """What a text is searched by: compatibility-folded, lower case, without marks.
 
     Anything that is neither letter nor digit separates tokens; a token has 1 to
     64 code points; nothing is stemmed and nothing is stopped.
@@ -101,9 +101,10 @@ def text_score(terms: Sequence[str], weighted: Iterable[tuple[Column, float]]) -
     return out
 
 
-# -- identifiers ---------------------------------------------------------------
+# identifiers:
 
-_RESOLVER = re.compile(r"^https?://(?:n2t\.net|arks\.org|doi\.org|hdl\.handle\.net)/")
+_RESOLVERS = ("doi.org", "hdl.handle.net", "n2t.net", "arks.org")
+_RESOLVER = re.compile("^https?://(?:" + "|".join(map(re.escape, _RESOLVERS)) + ")/")
 
 
 def canonical_pid(term: str) -> str:
@@ -135,7 +136,7 @@ def pid_where(term: str, col: Column) -> Column:
     return (stored == F.lit(c)) | contains_ci(col, local_part(c))
 
 
-# -- labels ---------------------------------------------------------------------
+# labels:
 
 
 def uri_tail(col: Column) -> Column:
@@ -162,7 +163,7 @@ def list_text(items: Column) -> Column:
     return F.to_json(items)
 
 
-# -- CSV ------------------------------------------------------------------------
+# CSV:
 
 
 def csv_guard(col: Column) -> Column:

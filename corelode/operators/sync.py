@@ -35,7 +35,7 @@ def require_none(df: DataFrame, what: str) -> None:
         raise SyncError(f"{what}: " + "; ".join(str(tuple(r)) for r in rows))
 
 
-# -- minting ---------------------------------------------------------------------
+# minting:
 
 
 def mint(new: DataFrame, start: int, *order: str, name: str = "row_id") -> DataFrame:
@@ -63,7 +63,7 @@ def next_id(*tables: DataFrame) -> int:
     return max(int(t.agg(F.coalesce(F.max("row_id"), F.lit(0))).first()[0]) for t in tables)
 
 
-# -- overlays --------------------------------------------------------------------
+# overlays:
 
 
 def overlay_column(df: DataFrame, lookup: DataFrame, key: str, col: str) -> DataFrame:
@@ -120,7 +120,7 @@ def conform(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in like.schema.fields])
 
 
-# -- true synchronisation ------------------------------------------------------------
+# true synchronisation:
 
 
 def difference(ours: DataFrame, theirs: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:

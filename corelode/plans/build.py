@@ -16,7 +16,7 @@ from ..lineage import checkpointed, local
 from ..operators import clusters, facets, graph, hierarchy, quality
 
 DIMS = ("material", "context", "object_type")
-REFERENCES = {"material": "p__has_material_category", "context": "p__has_context_category", "object_type": "p__has_sample_object_type"}
+REFERENCES = dict(zip(DIMS, ("p__has_material_category", "p__has_context_category", "p__has_sample_object_type")))
 KEYWORDS = "p__keywords"
 RESOLUTIONS = (4, 6, 8)
 FLAT = ("source", *DIMS)

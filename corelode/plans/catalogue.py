@@ -36,7 +36,7 @@ SAMPLES = """samples AS (
          CAST((o_custkey * 7919) % 180000 AS DOUBLE) / 1000 - 90 AS latitude,
          CAST((o_orderkey * 104729) % 360000 AS DOUBLE) / 1000 - 180 AS longitude
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
-FLAT = ("source", "material", "context", "object_type")
+FLAT = tuple("source material context object_type".split())
 BOX = geo.BBox(-30.0, 150.0, 40.0, -120.0)
 IN_BOX = "latitude BETWEEN -30 AND 40 AND (longitude BETWEEN 150 AND 180 OR longitude BETWEEN -180 AND -120)"
 PLAIN = geo.BBox(-20.0, -60.0, 50.0, 75.0)
@@ -71,9 +71,10 @@ def samples(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# -- flat facets ---------------------------------------------------------------------
+# flat facets:
 
-_ARMS = " UNION ALL ".join(f"SELECT '{d}' AS facet_type, {d} AS facet_value, CAST(NULL AS INTEGER) AS scheme, count(*) AS count FROM samples WHERE trim({d}) <> '' GROUP BY {d}" for d in FLAT)
+_ARM = "SELECT '{0}' AS facet_type, {0} AS facet_value, CAST(NULL AS INTEGER) AS scheme, count(*) AS count FROM samples WHERE trim({0}) <> '' GROUP BY {0}"
+_ARMS = " UNION ALL ".join(_ARM.format(d) for d in FLAT)
 
 
 @query(f"WITH {SAMPLES} {_ARMS}")
@@ -120,7 +121,7 @@ def facet_cube_lookup(spark, sf):
     return facets.cube_slice(facets.cross_filter(samples(spark, sf), FLAT), "source", "BUILDING")
 
 
-# -- trees ------------------------------------------------------------------------------
+# trees:
 
 DIMS = ("place", "time")
 ROOTS = {"place": "world", "time": "ever"}
@@ -301,7 +302,7 @@ def facet_counts_routed(spark, sf):
     return facets.route(_tables(spark, sf), FilterState(nodes={"place": frozenset({"r:ASIA"})}))[1]
 
 
-# -- filters ------------------------------------------------------------------------------
+# filters:
 
 
 @query(f"WITH {SAMPLES} SELECT pid, latitude, longitude FROM samples WHERE {IN_BOX}")
@@ -367,7 +368,7 @@ def search_semi_join(spark, sf):
     return fl.in_search(samples(spark, sf), found, "label").select("pid")
 
 
-# -- views ---------------------------------------------------------------------------------
+# views:
 
 
 @query(f"WITH {SAMPLES} SELECT pid, label, source FROM samples ORDER BY pid LIMIT 100 OFFSET 300")
@@ -418,7 +419,7 @@ def uri_tails(spark, sf):
     return _t(spark, sf, "part").select("p_partkey", tx.uri_tail(F.concat(F.lit("http://v/"), "p_brand", F.lit("/"), F.replace("p_name", F.lit(" "), F.lit("-")))).alias("tail"))
 
 
-# -- clusters ---------------------------------------------------------------------------------
+# clusters:
 
 _CELL = f"CAST(floor((latitude + 90) / {geo.GRID_DEGREES[4]!r}) AS BIGINT) * 268435456 + CAST(floor((longitude + 180) / {geo.GRID_DEGREES[4]!r}) AS BIGINT) + CAST(4 AS BIGINT) * 72057594037927936"
 
@@ -429,10 +430,10 @@ def _cells(spark, sf):
 
 def _summary_sql(where="true"):
     return f"""WITH {SAMPLES}, c AS (SELECT *, {_CELL} AS cell FROM samples WHERE {where}),
-sc AS (SELECT cell, source, count(*) AS n FROM c GROUP BY cell, source),
-dom AS (SELECT cell, source, row_number() OVER (PARTITION BY cell ORDER BY n DESC, source) AS rn FROM sc),
+pairs AS (SELECT source, cell, count(*) AS n FROM c GROUP BY ALL),
+dom AS (SELECT cell, arg_min(source, (-n, source)) AS source FROM pairs GROUP BY cell),
 agg AS (SELECT cell, count(*) AS n, round(avg(latitude), 6) AS a, round(avg(longitude), 6) AS b, count(DISTINCT source) AS k FROM c GROUP BY cell)
-SELECT agg.cell AS h3_cell, CAST(n AS INTEGER) AS sample_count, a AS center_lat, b AS center_lng, dom.source AS dominant_source, CAST(k AS INTEGER) AS source_count, CAST(4 AS INTEGER) AS resolution FROM agg JOIN dom ON dom.cell = agg.cell AND rn = 1"""
+SELECT agg.cell AS h3_cell, CAST(n AS INTEGER) AS sample_count, a AS center_lat, b AS center_lng, dom.source AS dominant_source, CAST(k AS INTEGER) AS source_count, CAST(4 AS INTEGER) AS resolution FROM agg JOIN dom ON dom.cell = agg.cell"""
 
 
 @query(_summary_sql())
@@ -460,7 +461,7 @@ def clusters_in_view(spark, sf):
     return clusters.in_view(clusters.cluster_summary(_cells(spark, sf), "cell", 4), PLAIN)
 
 
-# -- aggregates -----------------------------------------------------------------------------------
+# aggregates:
 
 
 @query("SELECT l_shipmode_, n, round(n * 100.0 / sum(n) OVER (), 2) AS pct FROM (SELECT l_returnflag AS l_shipmode_, count(*) AS n FROM lineitem GROUP BY 1)".replace("l_shipmode_", "l_returnflag"))
@@ -510,7 +511,7 @@ def concept_labels(spark, sf):
     return n.join(c, n.n_nationkey == c.c_nationkey).groupBy("n_nationkey").agg(ar.distinct_text(F.col("c_mktsegment")).alias("labels"))
 
 
-# -- arrays ------------------------------------------------------------------------------------------
+# arrays:
 
 
 def _order_parts(spark, sf):
@@ -543,7 +544,7 @@ def explode_ordinal(spark, sf):
     return ar.exploded(_order_parts(spark, sf), "parts", "l_partkey", "ord").select("l_orderkey", "ord", "l_partkey")
 
 
-# -- graph -----------------------------------------------------------------------------------------------
+# graph:
 
 PREDICATES = ("produced_by", "sample_location", "sampling_site", "site_location", "responsibility", "registrant")
 S0, E0, G0, P0, A0 = 1_000_000_000, 2_000_000_000, 3_000_000_000, 4_000_000_000, 5_000_000_000
@@ -669,7 +670,7 @@ def entity_histogram(spark, sf):
     return quality.histogram(wide(spark, sf), "otype")
 
 
-# -- search ---------------------------------------------------------------------------------------------------
+# search:
 
 _WORDS = """words AS (SELECT CAST(doc_id AS VARCHAR) AS pid, 'sample.description' AS field, unnest(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS token FROM documents
   UNION ALL SELECT CAST(doc_id AS VARCHAR), 'sample.label', unnest(string_split(trim(regexp_replace(lower(source), '[^a-z0-9]+', ' ', 'g')), ' ')) FROM documents),
@@ -677,7 +678,7 @@ tf AS (SELECT token, pid, field, count(*) AS tf FROM words WHERE length(token) B
 post AS (SELECT token, pid, field, CAST(least(tf, 65535) AS INTEGER) AS tf, CAST(least(sum(tf) OVER (PARTITION BY pid, field), 65535) AS INTEGER) AS doc_len FROM tf),
 dfs AS (SELECT token, count(*) AS df FROM post GROUP BY token),
 stats AS (SELECT field, count(*) AS docs, avg(doc_len) AS avg_len FROM (SELECT pid, field, max(doc_len) AS doc_len FROM post GROUP BY 1, 2) GROUP BY field),
-contrib AS (SELECT token, pid, field, CASE field WHEN 'sample.label' THEN 3.0 ELSE 1.0 END * ln(((SELECT sum(docs) FROM stats) - df + 0.5) / (df + 0.5) + 1) * (tf * 2.2) / (tf + 1.2 * (0.25 + 0.75 * doc_len / avg_len)) AS c
+contrib AS (SELECT token, pid, field, CASE field WHEN 'sample.label' THEN 3.0 ELSE 1.0 END * ln(((SELECT sum(docs) FROM stats) - df + 0.5) / (df + 0.5) + 1) * 2.2 * tf / (0.3 + tf + doc_len * 0.9 / avg_len) AS c
   FROM post JOIN dfs USING (token) JOIN stats USING (field))"""
 
 
@@ -744,7 +745,7 @@ def token_shards(spark, sf):
     return words.select("token", tx.fnv1a32_col(F.col("token")).alias("hash"), tx.shard_of(F.col("token"), search.SHARDS).alias("shard"))
 
 
-# -- sets and synchronisation ------------------------------------------------------------------------------------
+# sets and synchronisation:
 
 _OLD, _NEW = "SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey < 20", "SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey > 4"
 
@@ -822,7 +823,7 @@ def fingerprint_is_stable(spark, sf):
     return a.crossJoin(b).select((F.col("build_id") == F.col("other")).alias("same"))
 
 
-# -- sources and sinks ------------------------------------------------------------------------------------------------
+# sources and sinks:
 
 
 @query("SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY 1, 2")

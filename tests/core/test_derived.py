@@ -43,14 +43,14 @@ def make(spark, rows):
 
 @pytest.fixture(scope="module")
 def flat(spark):
-    rows = [sample(1000, "m-root-first", [1, 2, 3]), sample(1001, "m-real-first", [4, 1]), sample(1002, "m-root-only", [1]), sample(1003, "m-null", None), sample(1004, "m-missing", [999]), sample(1005, "m-nogeo", [4], located=False)]
+    rows = [sample(1000, "broad-then-real", [1, 2, 3]), sample(1001, "real-then-broad", [4, 1]), sample(1002, "broad-alone", [1]), sample(1003, "no-list", None), sample(1004, "lost-id", [999]), sample(1005, "unplaced", [4], located=False)]
     return make(spark, rows)
 
 
 def test_first_real_concept(flat):
     got = {r.pid: r.material for r in flat.samp.collect()}
-    assert got == {"m-root-first": MAT + "mineral", "m-real-first": MAT + "metal", "m-root-only": None, "m-null": None, "m-missing": None, "m-nogeo": MAT + "metal"}
-    assert flat.table("sample_facets_v2").filter("pid = 'm-nogeo'").count() == 0
+    assert got == {"broad-then-real": MAT + "mineral", "real-then-broad": MAT + "metal", "broad-alone": None, "no-list": None, "lost-id": None, "unplaced": MAT + "metal"}
+    assert flat.table("sample_facets_v2").filter("pid = 'unplaced'").count() == 0
     assert flat.table("samples_map_lite").count() == 5
 
 

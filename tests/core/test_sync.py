@@ -33,7 +33,7 @@ def uris(df, pid, col):
 
 @pytest.fixture(scope="module")
 def overlay(spark):
-    ours = frame(spark, [row(102, "m/rock", C), row(103, "m/material", C), row(104, "m/mineral", C), row(1, "ark:1/k2", S, "OC", has_material_category=[102, 104, 103]), row(2, "ark:1/root", S, "OC", has_material_category=[103, 104]), row(3, "ark:1/order", S, "OC", has_material_category=[103, 102]), row(4, "igsn:N1", S, "SESAR", has_material_category=[103]), row(5, "ark:1/none", S, "OC", has_material_category=[103])])
+    ours = frame(spark, [row(102, "m/rock", C), row(103, "m/material", C), row(104, "m/mineral", C), row(1, "ark:1/k2", S, "OC", has_material_category=[102, 104, 103]), row(2, "ark:1/root", S, "OC", has_material_category=[103, 104]), row(3, "ark:1/order", S, "OC", has_material_category=[103, 102]), row(4, "igsn:N1", S, "OTHER", has_material_category=[103]), row(5, "ark:1/none", S, "OC", has_material_category=[103])])
     theirs = frame(spark, [row(9001, "m/new", C, label="New"), row(9002, "m/material", C), row(9003, "m/rock", C), row(9005, "m/mineral", C), row(1, "ark:1/k2", S, has_material_category=[9001]), row(2, "ark:1/root", S, has_material_category=[9002]), row(3, "ark:1/order", S, has_material_category=[9003, 9001, 9005]), row(4, "ark:1/newrecord", S, has_material_category=[9001]), row(5, "ark:1/none", S, has_material_category=[])], ints=True)
     cols = ["p__has_material_category"]
     return ours, theirs, sync.concept_overlay(ours, theirs, cols).cache(), cols
@@ -79,7 +79,7 @@ def test_descriptions_of_one_source_only(spark):
 
 OURS = [
     row(1, "c/root", C), row(2, "c/rock", C), row(3, "c/artifact", C),
-    row(1000, "pid-C", S, "OC", has_material_category=[1, 2], produced_by=[103]), row(1001, "pid-NON-OC", S, "SESAR", has_material_category=[2], produced_by=[104]),
+    row(1000, "pid-C", S, "OC", has_material_category=[1, 2], produced_by=[103]), row(1001, "pid-NON-OC", S, "OTHER", has_material_category=[2], produced_by=[104]),
     row(103, "ev-C", E, sample_location=[203], responsibility=[500]), row(104, "ev-N", E, sample_location=[204], responsibility=[501]),
     row(203, "geo-C", G), row(204, "geo-N", G), row(500, "agent-C", A), row(501, "agent-N", A),
 ]
@@ -109,7 +109,7 @@ def test_true_sync(spark):
 
 
 def test_shared_entities_stay(spark):
-    rows = [r if r[0] != 1001 else row(1001, "pid-NON-OC", S, "SESAR", produced_by=[103]) for r in OURS if r[0] != 104]
+    rows = [r if r[0] != 1001 else row(1001, "pid-NON-OC", S, "OTHER", produced_by=[103]) for r in OURS if r[0] != 104]
     out = sync.true_sync(frame(spark, rows), frame(spark, THEIRS, ints=True), "OC")
     pids = {r.pid for r in out.collect()}
     assert {"ev-C", "geo-C", "agent-C"} <= pids and "pid-C" not in pids
