@@ -85,6 +85,8 @@ def write(pages: DataFrame, path: str, file_records: int = FILE_RECORDS, page_id
 
         def close() -> tuple[str, int, int]:
             out.close()
+            if where.get_file_info(name).type != fs.FileType.NotFound:
+                where.delete_file(name)  # an earlier attempt of this task got this far
             where.move(temp, name)
             return name, n, size
 
