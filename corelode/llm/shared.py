@@ -41,14 +41,3 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = fresh(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete a folder that :func:`fresh` named."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
-
-
-def path_of(df: DataFrame) -> str:
-    """The folder a table made by :func:`written` lies in."""
-    return df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else ""
