@@ -166,6 +166,7 @@ def _scan(narrow: DataFrame, work, schema: str) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", min_score: float = MIN_SCORE, max_local_grams: int = MAX_LOCAL_GRAMS) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of each document that holds an item."""
     spark = docs.sparkSession
+    scan.small_batches(spark)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id is not null and text is not null")
     kind = dict(narrow.dtypes)["doc_id"]
     item_rows = items.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")).filter("item_id is not null and text is not null").distinct()

@@ -193,6 +193,7 @@ def clean(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_local
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     columns = inner.columns
     t, d = f"c{names.index(text)}", f"c{names.index(doc_id)}"
+    scan.small_batches(docs.sparkSession)
     narrow = _narrow(inner, t, d)
     hashes = shared.written(repeated_hashes(narrow), "ld-hashes")
     seen = occurrences(narrow, hashes, max_local_hashes)

@@ -109,6 +109,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
                 fp = simhash(texts.slice(i, j - i))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array([f.tobytes() for f in fp], pa.binary())], ["doc_id", "fp"])
 
+    scan.small_batches(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = dict(narrow.dtypes)["doc_id"]
     return narrow.filter("doc_id is not null and text is not null").mapInArrow(make, f"doc_id {kind}, fp binary")

@@ -39,7 +39,7 @@ from . import scan, shared
 
 ORDER = 5
 Z_LOW, Z_HIGH, SLACK = 5.0, 5.0, 0.03
-MAX_BROADCAST_BYTES = 256 << 20
+MAX_BROADCAST_BYTES = 64 << 20
 BOS = 2
 UNKNOWN = "und"
 ADDED = ("log_ppl", "n_units", "perplexity")
@@ -113,6 +113,7 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, text: str = "text", lang:
                 c, n = codes[k : k + (1 << 17)].astype(np.int64), counts[k : k + (1 << 17)].astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(c)), pa.array(c), pa.array(n)], ["lang", "code", "n"])
 
+    scan.small_batches(docs.sparkSession)
     narrow = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = narrow.mapInArrow(partial, "lang string, code long, n long")
     return rows.groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -246,6 +247,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
     Both ways give the same perplexities.
     """
     docs = _free(docs, ADDED)
+    scan.small_batches(docs.sparkSession)
     rows = model.count()
     if rows * 16 > max_broadcast_bytes:
         return _score_by_join(docs, model, order, text, lang)

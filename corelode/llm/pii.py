@@ -40,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import scan
+
 KEY = b"corelode test key"
 ROUNDS = 8
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal() - dt.date(1900, 1, 1).toordinal() + 1
@@ -256,6 +258,7 @@ def rewrite(text: str, names: Pseudonyms) -> tuple[str, int]:
 def pseudonymise(docs: DataFrame, key: bytes = KEY, text: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in the text, and ``n_pseudonyms``; ``back`` inverts them."""
     docs = docs.drop("n_pseudonyms")
+    scan.small_batches(docs.sparkSession)
     names = docs.columns
     at = names.index(text)
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import scan, shared
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -61,6 +61,7 @@ def encoder(path: str):
 
 def tokenise(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, ids, kind, token, n): token ids (16 bit) per document, and partial counts per task."""
+    scan.small_batches(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = dict(narrow.dtypes)["doc_id"]
 

@@ -1,7 +1,7 @@
 """Vectorised text scanning over Arrow string columns.
 
 Every operator that must look at each word or byte of each document goes
-through this module: an Arrow batch is cut into slices of about a megabyte
+through this module: an Arrow batch is cut into slices of a quarter megabyte
 (so that temporary arrays stay in cache and memory stays flat), and each slice
 is scanned by numpy as one byte buffer.  Nothing is truncated: a document
 longer than a slice is a slice of its own.
@@ -18,7 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+BATCH_ROWS = 2000
 U64 = np.uint64
 
 _MULT = 0x9E3779B97F4A7C15 | 1
@@ -31,6 +32,14 @@ for _b in range(256):
     _WORD[_b] = _b >= 0x80 or chr(_b).isalnum()
 
 
+def small_batches(spark) -> None:
+    """Let Arrow batches have at most ``BATCH_ROWS`` rows: texts are long, and a worker holds a few batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name, "10000"))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def _power(base: int, n: int, key: str) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept per process."""
     have = _powers.get(key)
