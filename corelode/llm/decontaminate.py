@@ -1,17 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. Word n-grams of the benchmark items are looked up in every position of every
-   document, and the number of documents that hold each one is counted.
-2. The seeds of an item are those of its n-grams that are no more frequent in
-   the corpus than its median n-gram: relative to the item, so an item that
-   leaked into thousands of documents keeps its seeds at any corpus size, and
-   idioms seed nothing.
-3. Around each seed hit the document's words are aligned with the item's words
-   by Smith-Waterman.  Nearby hits of one item share a window.  A document is
-   contaminated by an item when the best alignment reaches ``MIN_SCORE`` of the
-   score of a perfect copy, so edited and paraphrased copies count too.
-
-The text is scanned twice and never shuffled; only hits are.  The benchmark is
+   document.  All of them are seeds, however frequent: an edited copy shares
+   only some n-grams with its item, and which ones cannot be told beforehand.
+2. Nearby seed hits of one item share a window.  A window that lacks too many of
+   the item's words for any alignment to reach the score is passed over; this
+   loses nothing, and it is what idioms end at.
+3. The other windows' words are aligned with the item's words by
+   Smith-Waterman.  A document is contaminated by an item when the best
+   alignment reaches ``MIN_SCORE`` of the score of a perfect copy, so edited and
+   paraphrased copies count too.
+
+The text is scanned once and never shuffled; only results are.  The benchmark is
 looked up from every task while its n-grams number at most ``MAX_LOCAL_GRAMS``;
 a larger one is joined to the n-grams of the documents instead.
 
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan, shared
@@ -73,11 +73,6 @@ class Benchmark:
         self.seen = np.zeros(1 << 20, dtype=bool)
         self.seen[self.key & np.uint64((1 << 20) - 1)] = True
 
-    def only(self, keep: np.ndarray) -> None:
-        """Keep the (gram, item) entries of the mask."""
-        self.gram, self.owner, self.place = self.gram[keep], self.owner[keep], self.place[keep]
-        self._index()
-
     def hits(self, w: scan.Words) -> tuple[np.ndarray, np.ndarray]:
         """(word index, index into ``key``) of each benchmark n-gram in the words."""
         ats, ks = [], []
@@ -143,7 +138,10 @@ def align(bench: Benchmark, hashes: np.ndarray, at: np.ndarray, owner: np.ndarra
         item = bench.items[k][1]
         mine = owner == k
         best = (0, 0, -1)
+        need = min_score * len(item)
         for a, b in _windows(at[mine], place[mine], len(item), len(hashes)):
+            if np.isin(item, hashes[a:b]).sum() < need:  # no alignment can match more words than these
+                continue
             s, x, y = smith_waterman(item, hashes[a:b])
             if s > best[0]:
                 best = (s, a + x, a + y)
@@ -178,26 +176,8 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     bench = Benchmark([tuple(r) for r in item_rows.collect()])
     sent = spark.sparkContext.broadcast(bench)
 
-    def count(ids: pa.Array, w: scan.Words) -> pa.RecordBatch:
-        at, k = sent.value.hits(w)
-        pair = np.unique(w.row[at] * (len(sent.value.key) + 1) + k)
-        row, k = np.divmod(pair, len(sent.value.key) + 1)
-        key, n = np.unique(k, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], ["k", "n"])
-
-    df = np.zeros(len(bench.key), dtype=np.int64)
-    for k, n in _scan(narrow, count, "k long, n long").groupBy("k").agg(F.sum("n")).collect():  # at most one row per n-gram of the benchmark
-        df[k] = n
-    each = df[np.searchsorted(bench.key, bench.gram)]
-    middle = np.zeros(len(bench.items))
-    order = np.lexsort((each, bench.owner))
-    owners, begin, counts = np.unique(bench.owner[order], return_index=True, return_counts=True)
-    middle[owners] = each[order][begin + (counts - 1) // 2]
-    bench.only(each <= middle[bench.owner])
-    seeds = spark.sparkContext.broadcast(bench)
-
     def match(ids: pa.Array, w: scan.Words) -> pa.RecordBatch:
-        b = seeds.value
+        b = sent.value
         at, k = b.hits(w)
         found = []
         if len(at):
@@ -253,13 +233,7 @@ def _by_join(narrow: DataFrame, item_rows: DataFrame, out_schema: str, min_score
     of_items = shared.written(items.select("iid", "text").mapInArrow(grams("iid", "place"), "iid string, gram long, place long"), "dc-item-grams")
     of_docs = docs.select("did", "text").mapInArrow(grams("did", "at"), "did string, gram long, at long")
     hits = shared.written(of_docs.join(of_items.select("gram").distinct(), "gram", "left_semi"), "dc-hits")
-    df = hits.join(docs.select("did", "doc_id"), "did").groupBy("gram").agg(F.count_distinct("did").alias("df"))
-    known = of_items.join(df, "gram", "left").fillna(0, ["df"])
-    w = Window.partitionBy("iid").orderBy("df", "gram", "place")
-    ranked = known.withColumn("r", F.row_number().over(w)).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("iid")))
-    middle = ranked.filter(F.col("r") == F.floor((F.col("c") - 1) / 2) + 1).select("iid", F.col("df").alias("mid"))
-    seeds = known.join(middle, "iid").filter("df <= mid").select("iid", "gram", "place")
-    pairs = hits.join(seeds, "gram").groupBy("did", "iid").agg(F.collect_list(F.struct("at", "place")).alias("hits"))
+    pairs = hits.join(of_items, "gram").groupBy("did", "iid").agg(F.collect_list(F.struct("at", "place")).alias("hits"))
     both = pairs.join(docs, "did").join(items.select("iid", "item_id", F.col("text").alias("item_text")), "iid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

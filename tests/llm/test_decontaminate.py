@@ -75,3 +75,25 @@ def test_against_aligning_everything(sf):
                 want.add((i, j))
     got = {(r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()}
     assert got <= want and len(got) >= 0.9 * len(want) and got
+
+
+@pytest.mark.parametrize("limit", [D.MAX_LOCAL_GRAMS, 0])
+def test_edited_copies_without_a_verbatim_one_or_beside_it(spark, limit):
+    """Seeds do not depend on which n-grams other documents hold."""
+    rng = np.random.default_rng(3)
+    plain = [[f"w{q}x{k}" for k in range(30)] for q in range(12)]
+    rows, want, key = [], set(), 0
+    for q, words in enumerate(plain):
+        if q % 2:
+            rows.append((key := key + 1, " ".join(words)))
+            want.add((key, q))
+        rate = (0.15, 0.2, 0.25, 0.3)[q // 2 % 4]
+        new = [f"e{rng.integers(10**9)}" if rng.random() < rate else w for w in words]
+        rows.append((key := key + 1, "some words before " + " ".join(new) + " and some after"))
+        score, _, _ = D.smith_waterman(np.arange(1, 31, dtype=np.uint64), np.array([k + 1 if a == b else 0 for k, (a, b) in enumerate(zip(new, words))], np.uint64))
+        if score / (D.MATCH * 30) >= D.MIN_SCORE:
+            want.add((key, q))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    items = spark.createDataFrame([(q, " ".join(w)) for q, w in enumerate(plain)], "item_id long, text string")
+    assert len(want) > 10
+    assert {(r.doc_id, r.item_id) for r in D.contaminated(docs, items, max_local_grams=limit).collect()} == want
