@@ -3,8 +3,9 @@
 Each document has a 256-bit SimHash of its distinct words of three or more
 bytes (of all words where it has fewer than ``MIN_FEATURES`` of those).  Two
 documents are near duplicates when at most ``MAX_BITS`` bits differ.  Such a
-pair agrees on at least ``32 - MAX_BITS`` of the 32 byte positions, which is the
-count filter.
+pair agrees on at least ``32 - MAX_BITS`` of the 32 byte positions where that is
+positive; at 40 bits none is certain (eight are usual), and the count filter is
+the three that a posting list stands for.
 
 Posting lists keyed by one position and one byte would hold 1/256 of the corpus
 each, so the lists are keyed by three positions and their three bytes: a pair
@@ -39,8 +40,9 @@ from pyspark.sql import functions as F
 from . import scan, shared
 
 BYTES = 32
-MAX_BITS = 30
-TRIPLES = 50
+MAX_BITS = 40
+TRIPLES = 135
+TASK_ROWS = 10_000
 MIN_WORD = 3
 MIN_FEATURES = 8
 SEED = 20240901
@@ -210,9 +212,11 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     """(doc_id, dup_of): every document that duplicates another, with its group's representative."""
     fps = shared.written(fingerprints(docs, text, doc_id).distinct(), "nd-fps")
     kind = dict(fps.dtypes)["doc_id"]
-    reps = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    reps = shared.written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nd-reps")
     equal = fps.join(reps, "fp").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
-    near = edges(reps.select(F.col("rep").alias("doc_id"), "fp"), kind).select("a", "b").filter("a <> b")
+    # each task's postings fit its memory, or the disk would hold them twice while they are merged
+    spread = reps.repartition(1 + reps.count() // TASK_ROWS, "fp")
+    near = edges(spread.select(F.col("rep").alias("doc_id"), "fp"), kind).select("a", "b").filter("a <> b")
     return components(near.union(equal)).filter("node <> root").select(F.col("node").alias("doc_id"), F.col("root").alias("dup_of"))
 
 

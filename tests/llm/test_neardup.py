@@ -92,3 +92,25 @@ def test_empty_table(spark):
 def test_components_of_a_chain(spark, n):
     edges = spark.createDataFrame([(k, k + 1) for k in range(n)], "a long, b long")
     assert {(r.node, r.root) for r in N.components(edges).collect()} == {(k, 0) for k in range(n + 1)}
+
+
+def test_recall_against_text_similarity(spark):
+    """Texts that share half of their word 4-grams end in one group, whatever the fingerprints say."""
+    from corelode.llm import scan
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    t = docs.toArrow()
+    ids, texts = t["doc_id"].to_pylist(), t["text"].to_pylist()
+    grams = [set(scan.shingles(scan.words(pa.array([x], pa.string())), 4)[1].tolist()) for x in texts]
+    at = {}
+    for k, g in enumerate(grams):
+        for x in g:
+            at.setdefault(x, []).append(k)
+    first = {}
+    for k, x in enumerate(texts):
+        first.setdefault(x, k)
+    pairs = {(a, b) for ks in at.values() for a in ks for b in ks if a < b and texts[a] != texts[b]}
+    near = [(a, b) for a, b in pairs if len(grams[a] & grams[b]) >= 0.5 * len(grams[a] | grams[b])]
+    group = {r.doc_id: r.dup_of for r in N.groups(docs).collect()}
+    apart = [(a, b) for a, b in near if group.get(ids[a], ids[a]) != group.get(ids[b], ids[b])]
+    assert near and len(apart) <= 0.05 * len(near)
