@@ -7,9 +7,10 @@ equal values get equal pseudonyms in all documents, different values get
 different ones, a pseudonym passes the same validation, and who holds the key
 can invert it.
 
-    card     13-19 digits with a valid Luhn digit; separators, first digit and
-             a valid check digit are kept
+    card     13-19 digits with a valid Luhn digit, also inside a longer run of digit
+             groups; separators, first digit and a valid check digit are kept
     phone    10 digits in a telephone layout, with or without country code
+    e164     8-15 digits after a plus sign; the country code is kept
     ipv4     four numbers up to 255
     ssn      valid 3-2-4 numbers
     iban     valid mod-97 account numbers; the country is kept
@@ -17,7 +18,9 @@ can invert it.
     email    letters and digits of the local part
     secret   32 or more hex digits assigned to a token, key, secret or password
 
-Numbers that fail validation are left alone.  The default key is for tests;
+Numbers that fail validation are left alone and hide no other number.  Of a run of digit groups the sub-runs in a layout of cards
+are tried first, then the longest; a pseudonym is inverted exactly unless another
+sub-run that holds it and is tried before happens to pass the check.  The default key is for tests;
 production passes its own.
 
 Defined results: a null text stays null and an empty one empty; a text of any
@@ -98,6 +101,18 @@ def luhn_digit(payload: str) -> int:
     return -total % 10
 
 
+def is_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and luhn_digit(digits[:-1]) == int(digits[-1]) and len(set(digits)) > 1
+
+
+def _number(x: str) -> int:
+    return int("".join(str(int(c, 36)) for c in x))
+
+
+def is_iban(flat: str) -> bool:
+    return 15 <= len(flat) <= 34 and _number(flat[4:] + flat[:4]) % 97 == 1
+
+
 def _refill(layout: str, digits: str) -> str:
     it = iter(digits)
     return "".join(next(it) if c.isdigit() else c for c in layout)
@@ -122,7 +137,7 @@ class Pseudonyms:
 
     def card(self, v: str) -> str | None:
         d = re.sub(r"\D", "", v)
-        if not 13 <= len(d) <= 19 or luhn_digit(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
+        if not is_card(d):
             return None
         body = d[0] + self._digits(f"card{d[0]}", d[1:-1])
         return _refill(v, body + str(luhn_digit(body)))
@@ -133,6 +148,13 @@ class Pseudonyms:
             return None
         return _refill(v, d[:-10] + self._digits("phone", d[-10:]))
 
+    def e164(self, v: str) -> str | None:
+        d = re.sub(r"\D", "", v)
+        if not 8 <= len(d) <= 15:
+            return None
+        n = 1 if d[0] in "17" else 2 if d[:2] in COUNTRIES else 3
+        return _refill(v, d[:n] + self._digits(f"e164:{d[:n]}", d[n:]))
+
     def ipv4(self, v: str) -> str | None:
         parts = [int(x) for x in v.split(".")]
         if max(parts) > 255 or any(len(x) > 1 and x[0] == "0" for x in v.split(".")):
@@ -151,12 +173,11 @@ class Pseudonyms:
 
     def iban(self, v: str) -> str | None:
         flat = v.replace(" ", "")
-        number = lambda x: int("".join(str(int(c, 36)) for c in x))
-        if not 15 <= len(flat) <= 34 or number(flat[4:] + flat[:4]) % 97 != 1:
+        if not is_iban(flat):
             return None
         body = flat[4:]
         body = _refill(body, self._digits("iban" + flat[:2], re.sub(r"\D", "", body)))
-        check = 98 - number(body + flat[:2] + "00") % 97
+        check = 98 - _number(body + flat[:2] + "00") % 97
         out = iter(flat[:2] + f"{check:02d}" + body)
         return "".join(c if c == " " else next(out) for c in v)
 
@@ -207,6 +228,10 @@ def _network(key: bytes, kind: str, size: int) -> Feistel:
     return Feistel(key, kind, size)
 
 
+# country codes of two digits; 1 and 7 have one, all others three
+COUNTRIES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+# digits a group of the usual card numbers
+CARD_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), *((n,) for n in range(13, 20))}
 DATES = [(re.compile(p), f) for p, f in ((r"\d{4}-\d\d-\d\d", "%Y-%m-%d"), (r"\d{4}/\d\d/\d\d", "%Y/%m/%d"), (r"\d\d/\d\d/\d{4}", "%m/%d/%Y"), (r"\d\d\.\d\d\.\d{4}", "%d.%m.%Y"), (r"\d\d-\d\d-\d{4}", "%d-%m-%Y"))]
 _NUMBERS = re.compile(
     r"(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}\d\d(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z]))"
@@ -214,15 +239,58 @@ _NUMBERS = re.compile(
     r"|(?P<ssn>(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-]))"
     r"|(?P<ipv4>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))"
     r"|(?P<phone>(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))"
-    r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))",
+    r"|(?P<e164>(?<![\d+])\+[1-9](?:[ .()/-]{0,2}\d){7,14}(?!\d))",
     re.ASCII,
 )
+_CARDS = re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,}(?![\d-])", re.ASCII)
+_GROUP = re.compile(r"\d+", re.ASCII)
 _START = re.compile(r"[0-9]", re.ASCII)
 _EMAIL_LEFT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?$")
 _EMAIL_RIGHT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}")
 _SECRET = re.compile(r"(?i:token|key|secret|password|passwd|pwd)[\"']?\s*[:=]\s*[\"']?([0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])")
 
 
+def _cards(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Ranges of the valid cards in a run of digit groups: whole groups, without overlaps, in order."""
+    groups = [m.span() for m in _GROUP.finditer(text, start, end)]
+    tries = []
+    for i in range(len(groups)):
+        digits = 0
+        for j in range(i, len(groups)):
+            digits += groups[j][1] - groups[j][0]
+            if digits > 19:
+                break
+            if digits >= 13:
+                usual = tuple(b - a for a, b in groups[i : j + 1]) in CARD_LAYOUTS
+                tries.append((not usual, -digits, i, j))
+    out: list[tuple[int, int]] = []
+    taken = bytearray(len(groups))
+    for _, _, i, j in sorted(tries):
+        a, b = groups[i][0], groups[j][1]
+        if not any(taken[i : j + 1]) and is_card(re.sub(r"\D", "", text[a:b])):
+            taken[i : j + 1] = b"\1" * (j + 1 - i)
+            out.append((a, b))
+    return out
+
+
+def _numbers(text: str) -> list[tuple[int, int, str]]:
+    """Cards and candidates of ``_NUMBERS``: of those that overlap the first stays, a card last of equal starts."""
+    out = [(a, b, "card") for m in _CARDS.finditer(text) for a, b in _cards(text, *m.span())]
+    at = 0
+    while m := _NUMBERS.search(text, at):
+        at = m.end()
+        if m.lastgroup == "iban" and not is_iban(m.group().replace(" ", "")):
+            at = m.start() + 1
+        else:
+            out.append((*m.span(), str(m.lastgroup)))
+    out.sort(key=lambda m: (m[0], m[2] == "card"))
+    kept: list[tuple[int, int, str]] = []
+    for m in out:
+        if not kept or m[0] >= kept[-1][1]:
+            kept.append(m)
+    return kept
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of each candidate, in order and without overlaps."""
     out: list[tuple[int, int, str]] = []
@@ -235,7 +303,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         at = text.find("@", at + 1)
     if _START.search(text):
         out += [(m.start(1), m.end(1), "secret") for m in _SECRET.finditer(text)]
-        out += [(m.start(), m.end(), str(m.lastgroup)) for m in _NUMBERS.finditer(text)]
+        out += _numbers(text)
     out.sort(key=lambda m: (m[0], -m[1]))
     kept: list[tuple[int, int, str]] = []
     for m in out:

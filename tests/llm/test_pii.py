@@ -83,3 +83,28 @@ def test_whole_table_inverts(sf):
     assert P.pseudonymise(once, back=True).drop("n_pseudonyms").exceptAll(docs).count() == 0
     left = {m for r in docs.select("text").collect() for m in re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", r.text)}
     assert left and not left & {m for r in once.select("text").collect() for m in re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", r.text)}
+
+
+@pytest.mark.parametrize(
+    "text,hidden",
+    [
+        ("4111 1111 1111 1111 123", "4111 1111 1111 1111"),
+        ("4111111111111111 12/25", "4111111111111111"),
+        ("qty 3 4111111111111111", "4111111111111111"),
+        ("AB12 4111 1111 1111 1111", "4111 1111 1111 1111"),
+        ("12 555-123-4567 1", "555-123-4567"),
+        ("call +44 20 7946 0958 now", "20 7946 0958"),
+        ("call +49 30 12345678.", "30 12345678"),
+        ("+4930123456", "30123456"),
+    ],
+)
+def test_numbers_beside_other_digits_are_hidden(text, hidden):
+    new, n = P.rewrite(text, NAMES)
+    assert n == 1 and hidden not in new and len(new) == len(text)
+    at = text.index(hidden)
+    assert new[:at] == text[:at] and new[at + len(hidden) :] == text[at + len(hidden) :]
+    assert P.rewrite(new, P.Pseudonyms(b"k", back=True)) == (text, 1)
+
+
+def test_long_runs_of_digits_take_linear_time():
+    assert P.rewrite("1 " * 50000, NAMES)[1] == 0
