@@ -2,24 +2,26 @@
 
 Each document has a 256-bit SimHash of its distinct words of three or more
 bytes (of all words where it has fewer than ``MIN_FEATURES`` of those).  Two
-documents are near duplicates when at most ``MAX_BITS`` bits differ.  Such a
-pair agrees on at least ``32 - MAX_BITS`` of the 32 byte positions where that is
-positive; at 40 bits none is certain (eight are usual), and the count filter is
-the three that a posting list stands for.
-
-Posting lists keyed by one position and one byte would hold 1/256 of the corpus
-each, so the lists are keyed by three positions and their three bytes: a pair
-far apart then meets by chance once in 2**24, whatever the size of the corpus,
-and the index stays linear.  ``TRIPLES`` triples, cut from permutations of the
-positions, are indexed.  The search is approximate only in that a pair may share
-no indexed triple; its recall is measured in the tests.
-
-Equal fingerprints are merged first, so that thousands of equal copies cost one
-posting.  Within a posting list the near-duplicate graph is searched breadth
-first: a document, once linked, leaves the list, so a list of thousands of
-copies takes one pass and no partner is ever dropped.  Every comparison tallies
-the shared bytes, drops pairs below the guaranteed minimum, and verifies the
-rest by their Hamming distance.  Groups are the connected components.
+documents are near duplicates when their fingerprints agree on at least
+``MIN_SHARED`` of the 32 byte positions and differ in at most ``MAX_BITS`` bits.
+A pair within ``32 - MIN_SHARED`` bits always has that many equal bytes.
+
+The positions are dealt to ``MIN_SHARED - 1`` groups.  A pair that shares
+``MIN_SHARED`` bytes shares two of one group, so posting lists keyed by the pairs
+of positions inside the groups, and their two bytes, hold every pair that can
+pass the count filter: the search loses none.  In a list the equal bytes of each
+pair are tallied, pairs below the minimum are dropped, and the rest are verified
+by their Hamming distance.
+
+A posting is its key and the fingerprint itself; documents with equal fingerprints
+are merged first, so thousands of equal copies cost one posting a list.  Lists of
+more than ``SHORT`` fingerprints are searched so that no copy meets all others:
+a pivot takes all that are linked to it out of the list, and only those within
+reach of what it took (by the triangle inequality) are compared with them.  What
+is left is split again by two more positions, of which a pair must share
+``MIN_SHARED - 2`` of the 30 that remain, and so on; the work stays near
+proportional while the lists grow.  Groups are the connected components of all
+links.
 
 Defined results: a null or empty text, or one without words, is a duplicate only
 of texts with equal bytes (nulls of none); a row whose ``doc_id`` is null is kept
@@ -31,37 +33,36 @@ smallest ``doc_id`` represents its group; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan, shared
 
 BYTES = 32
 MAX_BITS = 40
-TRIPLES = 135
-TASK_ROWS = 10_000
+MIN_SHARED = 9
 MIN_WORD = 3
 MIN_FEATURES = 8
-SEED = 20240901
+SHORT = 256
+BATCH_POSTINGS = 1 << 17
+WORDS = ["f0", "f1", "f2", "f3"]
 
 _LANES = np.zeros((256, 8), dtype=np.uint8)
 for _v in range(256):
     for _k in range(8):
         _LANES[_v, _k] = (_v >> _k) & 1
 _LANES = _LANES.view(np.uint64).ravel()
-_POPCOUNT = np.array([bin(v).count("1") for v in range(256)], dtype=np.uint8)
+_ONES = np.uint64(0x0101010101010101)
 
 
-def _triples(count: int) -> np.ndarray:
-    rng = np.random.Generator(np.random.PCG64(SEED))
-    out: list[np.ndarray] = []
-    while len(out) < count:
-        order = rng.permutation(BYTES)
-        out += [np.sort(order[i : i + 3]) for i in range(0, BYTES - 2, 3)]
-    return np.array(out[:count])
+def pair_keys(positions: list[int], minimum: int) -> list[tuple[int, int]]:
+    """Pairs of positions of which any ``minimum`` positions hold at least one."""
+    groups = max(1, minimum - 1)
+    return [p for g in range(groups) for p in combinations(positions[g::groups], 2)]
 
 
 def simhash(texts: pa.Array) -> np.ndarray:
@@ -117,76 +118,134 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     return narrow.filter("doc_id is not null and text is not null").mapInArrow(make, f"doc_id {kind}, fp binary")
 
 
-def _postings(reps: DataFrame, kind: str) -> DataFrame:
-    """(key, doc_id, fp): one row for each indexed triple of positions."""
-    triples = _triples(TRIPLES)
+def _byte(position: int) -> Column:
+    return F.shiftrightunsigned(WORDS[position // 8], 8 * (position % 8)).bitwiseAND(F.lit(255))
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
-                fp = np.frombuffer(b"".join(part.column("fp").to_pylist()), dtype=np.uint8).reshape(-1, BYTES).astype(np.int64)
-                key = np.arange(len(triples))[None, :]
-                for k in range(3):
-                    key = (key << 8) | fp[:, triples[:, k]]
-                rows = pa.array(np.repeat(np.arange(part.num_rows), len(triples)))
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), part.column("doc_id").take(rows), part.column("fp").take(rows)], ["key", "doc_id", "fp"])
-
-    return reps.mapInArrow(make, f"key long, doc_id {kind}, fp binary")
-
-
-def links(ids: np.ndarray, fp: np.ndarray, max_bits: int = MAX_BITS) -> list[tuple[int, int, int]]:
-    """Spanning links (i, j, distance) of the near-duplicate graph of one posting list."""
-    out: list[tuple[int, int, int]] = []
-    left = np.argsort(ids, kind="stable")
-    least = BYTES - max_bits
-    while len(left):
-        queue = [left[0]]
-        left = left[1:]
-        while queue and len(left):
-            i = queue.pop()
-            shared_bytes = (fp[left] == fp[i]).sum(axis=1)
-            near = np.flatnonzero(shared_bytes >= least)
-            if not len(near):
-                continue
-            far = _POPCOUNT[fp[left[near]] ^ fp[i]].sum(axis=1, dtype=np.int64)
-            ok = near[far <= max_bits]
-            for j, d in zip(left[ok], far[far <= max_bits]):
-                out.append((int(i), int(j), int(d)))
-            queue.extend(left[ok])
-            left = np.delete(left, ok)
+
+def _postings(reps: DataFrame) -> DataFrame:
+    """(key, f0 .. f3): one row for each pair of positions of a group; see the module."""
+    keys = [(F.lit(k << 16) + _byte(p) * 256 + _byte(q)).cast("int") for k, (p, q) in enumerate(pair_keys(list(range(BYTES)), MIN_SHARED))]
+    return reps.select(F.explode(F.array(*keys)).alias("key"), *WORDS)
+
+
+def equal_bytes(x: np.ndarray) -> np.ndarray:
+    """Equal bytes by the XOR of fingerprints, (..., 4) words."""
+    x = x | (x >> np.uint64(4))
+    x = x | (x >> np.uint64(2))
+    x = (x | (x >> np.uint64(1))) & _ONES
+    return BYTES - ((x.sum(axis=-1, dtype=np.uint64) * _ONES) >> np.uint64(56)).astype(np.int64)
+
+
+def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether fingerprints pass the count filter and the verification."""
+    x = a ^ b
+    out = equal_bytes(x) >= MIN_SHARED
+    at = np.flatnonzero(out)
+    out[at] = np.bitwise_count(x[at]).sum(axis=-1, dtype=np.int64) <= MAX_BITS
     return out
 
 
-def edges(reps: DataFrame, kind: str) -> DataFrame:
-    """(a, b, distance): verified near-duplicate links, enough to connect every group found."""
-    lists = _postings(reps, kind).groupBy("key").agg(F.collect_list(F.struct("doc_id", "fp")).alias("m")).filter(F.size("m") > 1)
+def _all_pairs(key: np.ndarray, fp: np.ndarray) -> list[np.ndarray]:
+    """Links within runs of equal keys: rows are compared with the next, the second next, and so on."""
+    out = []
+    at = np.arange(len(key) - 1)
+    step = 1
+    while len(at):
+        at = at[at + step < len(key)]
+        at = at[key[at] == key[at + step]]
+        ok = at[near(fp[at], fp[at + step])]
+        out.append(np.stack([ok, ok + step], axis=1))
+        step += 1
+    return out
+
+
+def _pivot(fp: np.ndarray, out: list[np.ndarray]) -> np.ndarray:
+    """Rows that are left when dense parts of a long list are linked to pivots and taken out."""
+    left = np.arange(len(fp))
+    while len(left) > SHORT:
+        half = np.unpackbits(fp[left].view(np.uint8).reshape(len(left), -1), axis=1).mean(axis=0) > 0.5
+        centre = np.packbits(half).view(np.uint64)
+        pivot = left[np.argmin(np.bitwise_count(fp[left] ^ centre).sum(axis=1, dtype=np.int64))]
+        distance = np.bitwise_count(fp[left] ^ fp[pivot]).sum(axis=1, dtype=np.int64)
+        taken = near(fp[left], fp[pivot])
+        if 8 * np.count_nonzero(taken) < len(left):
+            break
+        group, rest = left[taken], left[~taken]
+        others = group[group != pivot]
+        out.append(np.stack([np.full(len(others), pivot), others], axis=1))
+        # only these can be within MAX_BITS of something that was taken
+        for i in rest[distance[~taken] <= distance[taken].max() + MAX_BITS].tolist():
+            hit = np.flatnonzero(near(fp[group], fp[i]))
+            if len(hit):
+                out.append(np.array([[group[hit[0]], i]]))
+        left = rest
+    return left
+
+
+def links(key: np.ndarray, fp: np.ndarray, positions: list[int] | None = None, minimum: int = MIN_SHARED) -> list[np.ndarray]:
+    """(i, j) links that connect what the near pairs within each run of equal keys connect.
+
+    Of ``positions`` a near pair shares at least ``minimum``.
+    """
+    positions = list(range(BYTES)) if positions is None else positions
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(begin, len(key)))
+    short = np.flatnonzero(np.repeat((size > 1) & (size <= SHORT), size))
+    out = [short[m] for m in _all_pairs(key[short], fp[short])]
+    rows: list[np.ndarray] = []
+    for b, n in zip(begin[size > SHORT], size[size > SHORT]):
+        mine: list[np.ndarray] = []
+        rows.append(b + _pivot(fp[b : b + n], mine))
+        out += [b + m for m in mine]
+    if rows:
+        of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        row = np.concatenate(rows)
+        if minimum < 2:
+            return out + [row[m] for m in _all_pairs(of, fp[row])]
+        raw = fp.view(np.uint8).reshape(len(fp), BYTES)
+        for p, q in pair_keys(positions, minimum):
+            sub = (of << 16) + raw[row, p].astype(np.int64) * 256 + raw[row, q]
+            order = np.argsort(sub, kind="stable")
+            at = row[order]
+            out += [at[m] for m in links(sub[order], fp[at], [x for x in positions if x not in (p, q)], minimum - 2)]
+    return out
+
+
+def edges(reps: DataFrame) -> DataFrame:
+    """(a, b): verified links between fingerprints, enough to connect every group."""
+    lists = _postings(reps).repartition("key").sortWithinPartitions("key")
+    pairs = pair_keys(list(range(BYTES)), MIN_SHARED)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            pieces = []
+            # long lists go on with the positions that their key leaves
+            for k in np.unique(key >> 16):
+                lo, hi = np.searchsorted(key, [k << 16, (k + 1) << 16])
+                pieces += [m + lo for m in links(key[lo:hi], fp[lo:hi], [x for x in range(BYTES) if x not in pairs[k]], MIN_SHARED - 2)]
+            at = np.concatenate([np.zeros((0, 2), np.int64), *pieces]).astype(np.int64)
+            raw = np.ascontiguousarray(fp).view(f"V{BYTES}").ravel()
+            a, b = raw[at[:, 0]].tolist(), raw[at[:, 1]].tolist()
+            both = {(min(x, y), max(x, y)) for x, y in zip(a, b)}
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in both], pa.binary()), pa.array([y for _, y in both], pa.binary())], ["a", "b"])
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
         for batch in batches:
-            lists = batch.column("m")
-            flat = lists.flatten()
-            ends = np.cumsum(lists.value_lengths().to_numpy())
-            id_col = flat.field(0)
-            ids = id_col.to_numpy(zero_copy_only=False)
-            fp = np.frombuffer(b"".join(flat.field(1).to_pylist()), dtype=np.uint8).reshape(-1, BYTES)
-            a, b, d = [], [], []
-            begin = 0
-            for end in ends:
-                if end - begin == 2:  # most lists
-                    x = fp[begin] ^ fp[begin + 1]
-                    bits = int.from_bytes(x.tobytes(), "big").bit_count()
-                    if bits <= MAX_BITS and np.count_nonzero(x == 0) >= BYTES - MAX_BITS:
-                        i, j = (begin, begin + 1) if ids[begin] <= ids[begin + 1] else (begin + 1, begin)
-                        a.append(i), b.append(j), d.append(bits)
-                else:
-                    for i, j, bits in links(ids[begin:end], fp[begin:end]):
-                        a.append(begin + i), b.append(begin + j), d.append(bits)
-                begin = end
-            yield pa.RecordBatch.from_arrays([id_col.take(pa.array(a, pa.int64())), id_col.take(pa.array(b, pa.int64())), pa.array(d, pa.int32())], ["a", "b", "distance"])
-
-    found = lists.select("m").mapInArrow(search, f"a {kind}, b {kind}, distance int")
-    return found.dropDuplicates(["a", "b"])
+            if not batch.num_rows:
+                continue
+            held.append((batch.column("key").to_numpy(), np.stack([batch.column(c).to_numpy() for c in WORDS], axis=1).view(np.uint64)))
+            rows += batch.num_rows
+            if rows >= BATCH_POSTINGS:
+                key, fp = np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held])
+                whole = int(np.searchsorted(key, key[-1]))  # the last list may go on
+                if whole:
+                    yield found(key[:whole], fp[:whole])
+                held, rows = [(key[whole:], fp[whole:])], 0
+        if held:
+            yield found(np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held]))
+
+    return lists.mapInArrow(search, "a binary, b binary").dropDuplicates(["a", "b"])
 
 
 def components(edges_ab: DataFrame) -> DataFrame:
@@ -208,16 +267,22 @@ def components(edges_ab: DataFrame) -> DataFrame:
             return label
 
 
+def _as_words(fps: DataFrame) -> DataFrame:
+    """(rep, fp, f0 .. f3): the fingerprint as four words, byte by byte from the lowest."""
+    hexed = F.hex("fp")
+    word = [F.concat(*[F.substring(hexed, 16 * w + 2 * b + 1, 2) for b in range(7, -1, -1)]) for w in range(4)]
+    return fps.select("rep", "fp", *[F.conv(x, 16, -10).cast("long").alias(n) for x, n in zip(word, WORDS)])
+
+
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, dup_of): every document that duplicates another, with its group's representative."""
     fps = shared.written(fingerprints(docs, text, doc_id).distinct(), "nd-fps")
-    kind = dict(fps.dtypes)["doc_id"]
     reps = shared.written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nd-reps")
     equal = fps.join(reps, "fp").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
-    # each task's postings fit its memory, or the disk would hold them twice while they are merged
-    spread = reps.repartition(1 + reps.count() // TASK_ROWS, "fp")
-    near = edges(spread.select(F.col("rep").alias("doc_id"), "fp"), kind).select("a", "b").filter("a <> b")
-    return components(near.union(equal)).filter("node <> root").select(F.col("node").alias("doc_id"), F.col("root").alias("dup_of"))
+    found = edges(_as_words(reps))
+    named = found.join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("rb")), "b")
+    near_ = named.select(F.col("ra").alias("a"), F.col("rb").alias("b")).filter("a <> b")
+    return components(near_.union(equal)).filter("node <> root").select(F.col("node").alias("doc_id"), F.col("root").alias("dup_of"))
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -229,7 +294,8 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     kept = inner.join(gone, doc_id, "left_anti").select(*inner.columns)
     again = shared.written(inner.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).count().filter("count > 1").select(doc_id), "nd-again")
     if not again.isEmpty():
-        rest = [F.struct(*[c for c in [text, *[x for x in inner.columns if x not in (text, doc_id)]]])]
-        one = kept.join(again, doc_id).groupBy(doc_id).agg(F.min(*rest).alias("r")).select(doc_id, "r.*").select(*inner.columns)
+        # as JSON the other columns have an order whatever their types
+        least = F.struct(text, F.to_json(F.struct(*inner.columns)))
+        one = kept.join(again, doc_id).groupBy(doc_id).agg(F.min_by(F.struct(*inner.columns), least).alias("r")).select("r.*")
         kept = kept.join(again, doc_id, "left_anti").select(*inner.columns).unionByName(one)
     return kept.toDF(*names)

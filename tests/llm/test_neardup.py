@@ -18,7 +18,7 @@ def brute_groups(ids, fp):
 
     for a in range(len(ids)):
         for b in range(a):
-            if (bits[a] != bits[b]).sum() <= N.MAX_BITS:
+            if (bits[a] != bits[b]).sum() <= N.MAX_BITS and (fp[a] == fp[b]).sum() >= N.MIN_SHARED:
                 x, y = sorted((find(ids[a]), find(ids[b])))
                 root[y] = x
     return {i: find(i) for i in ids if find(i) != i}
@@ -44,28 +44,73 @@ def test_recall_against_all_pairs(spark):
     ids = t["doc_id"].to_pylist()
     want = brute_groups(ids, np.frombuffer(b"".join(t["fp"].to_pylist()), np.uint8).reshape(-1, N.BYTES))
     got = {r.doc_id: r.dup_of for r in N.groups(docs).collect()}
-    assert sum(got.get(k) == v for k, v in want.items()) >= 0.9 * len(want)
-    assert set(got) <= set(want)
+    assert got == want
 
 
-def test_posting_list_search_links_every_component():
-    rng = np.random.default_rng(0)
-    base = rng.integers(0, 256, (3, N.BYTES), dtype=np.uint8)
-    fp = base[rng.integers(0, 3, 200)].copy()
-    for r in range(200):
-        fp[r, rng.integers(0, N.BYTES)] ^= np.uint8(1 << rng.integers(0, 8))
-    links = N.links(np.arange(200), fp)
-    root = list(range(200))
+def _roots(n, pairs):
+    root = list(range(n))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for i, j, d in links:
-        assert d <= N.MAX_BITS
+    for i, j in pairs:
         root[find(i)] = find(j)
-    assert len({find(i) for i in range(200)}) == 3 and len(links) == 197
+    return [find(i) for i in range(n)]
+
+
+def _searched(words):
+    raw, got = words.view(np.uint8).reshape(len(words), N.BYTES), []
+    for p, q in N.pair_keys(list(range(N.BYTES)), N.MIN_SHARED):
+        key = raw[:, p].astype(np.int64) * 256 + raw[:, q]
+        order = np.argsort(key, kind="stable")
+        for m in N.links(key[order], words[order], [x for x in range(N.BYTES) if x not in (p, q)], N.MIN_SHARED - 2):
+            got += order[m].tolist()
+    return got
+
+
+@pytest.mark.parametrize("short", [2, 8, 256])
+@pytest.mark.parametrize("flips", [(1, 3), (1, 40), (15, 30)])
+def test_search_finds_what_all_pairs_find(monkeypatch, short, flips):
+    """Lists split at any length, dense or not, give the groups of all pairs."""
+    monkeypatch.setattr(N, "SHORT", short)
+    rng = np.random.default_rng(short + flips[1])
+    base = rng.integers(0, 256, (5, N.BYTES), dtype=np.uint8)
+    bits = np.unpackbits(base[rng.integers(0, 5, 400)], axis=1)
+    for r in range(400):
+        bits[r, rng.choice(256, rng.integers(*flips), replace=False)] ^= 1
+    words = np.packbits(bits, axis=1).view(np.uint64)
+    want = [(i, j) for i in range(400) for j in np.flatnonzero(N.near(words[:i], words[i]))]
+    got = _searched(words)
+    assert {tuple(sorted(p)) for p in got} <= {(int(j), i) for i, j in want}
+    a, b = _roots(400, want), _roots(400, got)
+    assert len(set(zip(a, b))) == len(set(a)) == len(set(b))
+
+
+def test_count_filter_rejects_and_keys_cover_every_choice():
+    x = np.zeros((1, 4), np.uint64)
+    y = x.copy()
+    y.view(np.uint8)[0, : N.BYTES - N.MIN_SHARED + 1] = 1  # few bits, but too few equal bytes
+    assert np.bitwise_count(x ^ y).sum() <= N.MAX_BITS and N.equal_bytes(x ^ y)[0] == N.MIN_SHARED - 1 and not N.near(x, y)[0]
+    rng = np.random.default_rng(3)
+    for minimum, of in ((9, 32), (7, 30), (3, 26), (2, 25)):
+        keys = N.pair_keys(list(range(of)), minimum)
+        for _ in range(500):
+            chosen = set(rng.choice(of, minimum, replace=False).tolist())
+            assert any(p in chosen and q in chosen for p, q in keys)
+
+
+def test_equal_bytes_and_words(spark):
+    rng = np.random.default_rng(4)
+    fp = rng.integers(0, 256, (50, N.BYTES), dtype=np.uint8)
+    other = np.where(rng.random(fp.shape) < 0.5, fp, rng.integers(0, 256, fp.shape, dtype=np.uint8)).astype(np.uint8)
+    assert N.equal_bytes(fp.view(np.uint64) ^ np.ascontiguousarray(other).view(np.uint64)).tolist() == (fp == other).sum(axis=1).tolist()
+    rows = N._as_words(spark.createDataFrame([(i, bytearray(f.tobytes())) for i, f in enumerate(fp)], "rep long, fp binary")).orderBy("rep").collect()
+    assert np.array([[r[w] for w in N.WORDS] for r in rows]).view(np.uint64).tolist() == fp.view(np.uint64).tolist()
+    row = N._postings(spark.createDataFrame([rows[0]])).collect()
+    keys = N.pair_keys(list(range(N.BYTES)), N.MIN_SHARED)
+    assert [r.key for r in row] == [(k << 16) + int(fp[0, p]) * 256 + int(fp[0, q]) for k, (p, q) in enumerate(keys)]
 
 
 def test_edge_rows(spark):
@@ -78,9 +123,9 @@ def test_edge_rows(spark):
 
 
 def test_repeated_ids_keep_one_row_and_columns_may_clash(spark):
-    docs = spark.createDataFrame([(1, "alpha beta gamma", "r"), (1, "alpha beta gamma", "a")], "doc_id long, text string, root string")
+    docs = spark.createDataFrame([(1, "alpha beta gamma", "r", {"k": 1}), (1, "alpha beta gamma", "a", {"k": 2}), (1, "beta", "z", None)], "doc_id long, text string, root string, extra map<string,int>")
     got = N.deduplicate(docs)
-    assert got.columns == docs.columns and [r.root for r in got.collect()] == ["a"]
+    assert got.columns == docs.columns and [(r.root, r.extra) for r in got.collect()] == [("a", {"k": 2})]
 
 
 def test_empty_table(spark):
