@@ -7,6 +7,10 @@ model; a document whose perplexity leaves its language's band is rejected.
 
 * Counting covers all bytes of all documents.  Tasks pre-aggregate, so what is
   shuffled is one row per distinct n-gram of a task.
+* Scoring has one plan at every size.  The texts are written once in parts and stay
+  there; the n-grams of each part are joined to the model, and the task that scans
+  a part reads its own slice of the model as a sorted hash array.  No task and no
+  driver holds the whole model, and a slice is bounded by the bytes of its part.
 * Lower orders use continuation counts, derived from the distinct n-grams one
   order up, so the text is read once for all orders.
 * Digits count as one symbol, control characters as a space; case is kept.
@@ -39,7 +43,7 @@ from . import scan, shared
 
 ORDER = 5
 Z_LOW, Z_HIGH, SLACK = 5.0, 5.0, 0.03
-MAX_BROADCAST_BYTES = 64 << 20
+PARTS_A_ROW = 1 << 12  # parts that one row lists for an n-gram
 BOS = 2
 UNKNOWN = "und"
 ADDED = ("log_ppl", "n_units", "perplexity")
@@ -89,47 +93,58 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return codes[first], np.add.reduceat(counts, first)
 
 
-def count_ngrams(docs: DataFrame, order: int = ORDER, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, code, n): how often each byte n-gram occurs, over all documents."""
+def gather(held: DataFrame, order: int = ORDER, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, code, block, n, parts): how often each byte n-gram occurs in all documents, and in which parts."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[tuple[int, str], list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
-            for name, rows in _languages(batch, "lang"):
-                texts = batch.column("text").take(pa.array(rows))
-                for i, j in scan.slices(texts):
-                    code, _, _ = _codes(texts.slice(i, j - i), order)
-                    if not len(code):
-                        continue
-                    code.sort()
-                    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-                    mine = held.setdefault(name, [])
-                    mine.append((code[first], np.diff(np.append(first, len(code)))))
-                    if len(mine) >= 16:
-                        held[name] = [_merge(mine)]
-        for name, parts in held.items():
-            codes, counts = _merge(parts)
+            for part, at in shared.parts(batch):
+                mine = batch.take(pa.array(at))
+                for name, rows in _languages(mine, "lang"):
+                    texts = mine.column("text").take(pa.array(rows))
+                    for i, j in scan.slices(texts):
+                        code, _, _ = _codes(texts.slice(i, j - i), order)
+                        if not len(code):
+                            continue
+                        code.sort()
+                        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+                        pieces = held.setdefault((part, name), [])
+                        pieces.append((code[first], np.diff(np.append(first, len(code)))))
+                        if len(pieces) >= 16:
+                            held[part, name] = [_merge(pieces)]
+        for (part, name), pieces in held.items():
+            codes, counts = _merge(pieces)
             for k in range(0, len(codes), 1 << 17):
                 c, n = codes[k : k + (1 << 17)].astype(np.int64), counts[k : k + (1 << 17)].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(c)), pa.array(c), pa.array(n)], ["lang", "code", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), part)), pa.array([name] * len(c)), pa.array(c), pa.array(n)], ["part", "lang", "code", "n"])
 
-    scan.small_batches(docs.sparkSession)
-    narrow = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    rows = narrow.mapInArrow(partial, "lang string, code long, n long")
-    return rows.groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    narrow = held.select(shared.ROW, F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    rows = narrow.mapInArrow(partial, "part long, lang string, code long, n long")
+    # tasks have pre-aggregated: one shuffle, then each n-gram's rows become one
+    each = rows.repartition("lang", "code").withColumn("block", F.floor(F.col("part") / PARTS_A_ROW))
+    return each.groupBy("lang", "code", "block").agg(F.sum("n").alias("n"), F.collect_set("part").alias("parts"))
 
 
-def fit(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, ord, code, logp, backoff): the whole model from the n-gram counts.
+def totals(gathered: DataFrame) -> DataFrame:
+    """(lang, code, n): how often each byte n-gram occurs, over all documents."""
+    return gathered.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
-    ``logp`` is null for a context that never ends an n-gram itself.
-    """
+
+def count_ngrams(docs: DataFrame, order: int = ORDER, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, code, n) of any table of documents."""
+    scan.small_batches(docs.sparkSession)
+    return totals(gather(shared.parted(docs.select(text, lang), "kn-docs"), order, text, lang))
+
+
+def smooth(counts: DataFrame, order: int = ORDER) -> dict[int, DataFrame]:
+    """(lang, code, ctx, p, g) by order: probability of each n-gram, and its context's weight for backing off."""
     tables = {order: shared.written(counts.withColumnRenamed("n", "c"), "kn-counts")}
     for n in range(order - 1, 0, -1):
         suffix = F.col("code").bitwiseAND(F.lit((1 << (8 * n)) - 1))
         tables[n] = tables[n + 1].groupBy("lang", suffix.alias("code")).agg(F.count(F.lit(1)).alias("c"))
     lower: DataFrame | None = None
-    out: DataFrame | None = None
+    out: dict[int, DataFrame] = {}
     for n in range(1, order + 1):
         t = tables[n]
         of = [F.sum((F.col("c") == k).cast("long")).alias(f"t{k}") for k in (1, 2, 3, 4)]
@@ -149,13 +164,22 @@ def fit(counts: DataFrame, order: int = ORDER) -> DataFrame:
             t = t.join(low, ["lang", "suffix"])
             p_low = F.col("p_low")
         p = (F.col("c") - F.col("d") + F.col("freed") * p_low) / F.col("total")
-        mine = shared.written(t.select("lang", "code", "ctx", p.alias("p"), (F.col("freed") / F.col("total")).alias("g")), f"kn-{n}")
+        lower = out[n] = shared.written(t.select("lang", "code", "ctx", p.alias("p"), (F.col("freed") / F.col("total")).alias("g")), f"kn-{n}")
+    return out
+
+
+def fit(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, ord, code, logp, backoff): the whole model from the n-gram counts.
+
+    ``logp`` is null for a context that never ends an n-gram itself.
+    """
+    out: DataFrame | None = None
+    for n, mine in smooth(counts, order).items():
         grams = mine.select("lang", F.lit(n).alias("ord"), "code", F.log("p").alias("logp"), F.lit(None).cast("double").alias("backoff"))
         weights = mine.groupBy("lang", F.col("ctx").alias("code")).agg(F.first("g").alias("g"))
         weights = weights.select("lang", F.lit(n - 1).alias("ord"), "code", F.lit(None).cast("double").alias("logp"), F.log("g").alias("backoff"))
         both = grams.unionByName(weights)
         out = both if out is None else out.unionByName(both)
-        lower = mine
     return out.groupBy("lang", "ord", "code").agg(F.max("logp").alias("logp"), F.max("backoff").alias("backoff"))
 
 
@@ -192,107 +216,8 @@ class SortedHashes:
         return out
 
 
-def key_of(order: int, code: np.ndarray) -> np.ndarray:
-    """The 64-bit hash under which an n-gram is stored; a bijection per order (no collisions)."""
-    return scan.mix(code ^ np.uint64(order << 56))
-
-
-def arrays(model: DataFrame) -> dict[str, SortedHashes]:
-    """The model as sorted hash arrays, one set per language."""
-    table = model.toArrow()
-    lang = table["lang"].to_numpy()
-    key = key_of_mixed(table["ord"].to_numpy(), table["code"].to_numpy().astype(np.uint64))
-    logp, back = (table[c].to_numpy().astype(np.float32) for c in ("logp", "backoff"))
-    return {str(name): SortedHashes(key[m], logp[m], back[m]) for name in set(lang) for m in [lang == name]}
-
-
-def key_of_mixed(order: np.ndarray, code: np.ndarray) -> np.ndarray:
-    return scan.mix(code ^ (order.astype(np.uint64) << np.uint64(56)))
-
-
-def log_prob(model: SortedHashes | None, code: np.ndarray, order: int) -> np.ndarray:
-    """Log probability of the last byte of each n-gram, backing off where unseen."""
-    flat = np.float32(np.log(1 / 256))
-    if model is None:
-        return np.full(len(code), flat, dtype=np.float32)
-    logp, back = model.values
-    out = logp[model.find(key_of(order, code))]
-    todo = np.flatnonzero(np.isnan(out))
-    carried = np.zeros(len(todo), dtype=np.float32)
-    for n in range(order - 1, -1, -1):
-        if not len(todo):
-            break
-        mask = np.uint64((1 << (8 * n)) - 1)
-        ctx = (code[todo] >> np.uint64(8)) & mask
-        carried = carried + np.nan_to_num(back[model.find(key_of(n, ctx))])
-        if n == 0:
-            out[todo] = carried + flat
-            break
-        p = logp[model.find(key_of(n, code[todo] & mask))]
-        seen = ~np.isnan(p)
-        out[todo[seen]] = carried[seen] + p[seen]
-        todo, carried = todo[~seen], carried[~seen]
-    return out
-
-
-def _free(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    return docs.drop(*names)
-
-
-def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "text", lang: str = "lang", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``docs`` with ``log_ppl``, ``n_units`` and ``perplexity``.
-
-    The model travels as sorted hash arrays while they fit ``max_broadcast_bytes``;
-    a larger one stays distributed and is joined to the n-grams of the documents.
-    Both ways give the same perplexities.
-    """
-    docs = _free(docs, ADDED)
-    scan.small_batches(docs.sparkSession)
-    rows = model.count()
-    if rows * 16 > max_broadcast_bytes:
-        return _score_by_join(docs, model, order, text, lang)
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(arrays(model))
-    names = docs.columns
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = sent.value
-        for batch in batches:
-            total, units = np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64)
-            for name, at in _languages(batch, lang):
-                texts = batch.column(text).cast(pa.string()).take(pa.array(at))
-                for i, j in scan.slices(texts):
-                    code, owner, n = _codes(texts.slice(i, j - i), order)
-                    total[at[i:j]] = np.bincount(owner, weights=log_prob(models.get(name), code, order), minlength=j - i)
-                    units[at[i:j]] = n
-            size = pc.fill_null(pc.binary_length(batch.column(text).cast(pa.string())), 0).to_numpy(zero_copy_only=False)
-            nll = pa.array(-total / np.maximum(units, 1), mask=size == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, nll, pa.array(units)], [*names, "log_ppl", "n_units"])
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("log_ppl", T.DoubleType()), T.StructField("n_units", T.LongType())])
-    return docs.mapInArrow(scored, schema).withColumn("perplexity", F.exp("log_ppl"))
-
-
-def _score_by_join(docs: DataFrame, model: DataFrame, order: int, text: str, lang: str) -> DataFrame:
-    docs = shared.written(docs.withColumn("_row", F.expr("uuid()")), "kn-docs")
-    narrow = docs.select("_row", F.col(text).cast("string").alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"))
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text")
-            for i, j in scan.slices(texts):
-                code, owner, units = _codes(texts.slice(i, j - i), order)
-                order_ = np.lexsort((code, owner))
-                code, owner = code[order_], owner[order_]
-                new = np.ones(len(code), dtype=bool)
-                new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(code)))
-                take = pa.array(owner[first] + i)
-                yield pa.RecordBatch.from_arrays([batch.column("_row").take(take), batch.column("lang").take(take), pa.array(code[first].astype(np.int64)), pa.array(n), pa.array(units[owner[first]])], ["_row", "lang", "code", "n", "n_units"])
-
-    found = shared.written(narrow.mapInArrow(grams, "_row string, lang string, code long, n long, n_units long"), "kn-grams")
-    need = found.select("lang", "code").distinct()
+def backed_off(need: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, code, v): the log probability of each n-gram of ``need``, seen or not."""
     value, carried = F.lit(None).cast("double"), F.lit(0.0)
     for n in range(order, 0, -1):
         m = model.filter(F.col("ord") == n).select("lang", F.col("code").alias("_c"), F.col("logp").alias(f"_p{n}"))
@@ -301,10 +226,74 @@ def _score_by_join(docs: DataFrame, model: DataFrame, order: int, text: str, lan
         b = model.filter(F.col("ord") == n - 1).select("lang", F.col("code").alias("_c"), F.col("backoff").alias(f"_b{n}"))
         need = need.withColumn("_c", F.shiftright("code", 8).bitwiseAND(F.lit((1 << (8 * (n - 1))) - 1))).join(b, ["lang", "_c"], "left").drop("_c")
         carried = carried + F.coalesce(F.col(f"_b{n}"), F.lit(0.0))
-    need = need.select("lang", "code", F.coalesce(value, carried + float(np.log(1 / 256))).alias("v"))
-    sums = found.join(need, ["lang", "code"]).groupBy("_row").agg((-F.sum(F.col("n") * F.col("v")) / F.greatest(F.max("n_units"), F.lit(1))).alias("log_ppl"), F.max("n_units").alias("n_units"))
-    out = docs.join(sums, "_row", "left").drop("_row").withColumn("n_units", F.coalesce("n_units", F.lit(0).cast("long")))
-    return out.withColumn("perplexity", F.exp("log_ppl"))
+    return need.select("lang", "code", F.coalesce(value, carried + float(np.log(1 / 256))).alias("v"))
+
+
+def arrays(rows: pa.Table | None) -> dict[str, SortedHashes]:
+    """The model's slice of a part as sorted hash arrays, one a language."""
+    if rows is None:
+        return {}
+    lang = rows["lang"].combine_chunks().dictionary_encode()
+    index = lang.indices.to_numpy()
+    key, v = scan.mix(rows["code"].to_numpy().astype(np.uint64)), rows["v"].to_numpy()
+    return {name: SortedHashes(key[index == k], v[index == k]) for k, name in enumerate(lang.dictionary.to_pylist())}
+
+
+def _scores(held: DataFrame, gathered: DataFrame, values: DataFrame, order: int, text: str, lang: str) -> DataFrame:
+    """(part, _row, lang, log_ppl, n_units) of every row; ``values`` has (lang, code, v) of all that occur."""
+    known = gathered.join(values.select("lang", "code", F.col("v").cast("float").alias("v")), ["lang", "code"])
+    side = shared.Side(known.select(F.explode("parts").alias("part"), "lang", "code", "v"), "kn-slices", "lang", "code")
+    narrow = held.select(shared.ROW, F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, rows in shared.parts(batch):
+                models = side.of(part, arrays)
+                mine = batch.take(pa.array(rows))
+                total, units = np.zeros(len(rows)), np.zeros(len(rows), dtype=np.int64)
+                for name, at in _languages(mine, "lang"):
+                    texts = mine.column("text").take(pa.array(at))
+                    for i, j in scan.slices(texts):
+                        code, owner, n = _codes(texts.slice(i, j - i), order)
+                        if len(code):
+                            v = models[name].values[0][models[name].find(scan.mix(code))]
+                            total[at[i:j]] = np.bincount(owner, weights=v, minlength=j - i)
+                        units[at[i:j]] = n
+                size = pc.fill_null(pc.binary_length(mine.column("text")), 0).to_numpy(zero_copy_only=False)
+                nll = pa.array(-total / np.maximum(units, 1), mask=size == 0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), part)), mine.column(shared.ROW), pc.fill_null(mine.column("lang"), UNKNOWN), nll, pa.array(units)], ["part", shared.ROW, "lang", "log_ppl", "n_units"])
+
+    return narrow.mapInArrow(scored, f"part long, {shared.ROW} long, lang string, log_ppl double, n_units long")
+
+
+def _with_scores(held: DataFrame, side: shared.Side) -> DataFrame:
+    """The held rows, without numbers, with ``log_ppl``, ``n_units`` and ``perplexity``."""
+    names = [c for c in held.columns if c != shared.ROW]
+
+    def table(rows: pa.Table) -> tuple[np.ndarray, pa.Table]:
+        rows = rows.sort_by(shared.ROW)
+        return rows[shared.ROW].to_numpy(), rows
+
+    def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, at in shared.parts(batch):
+                number, rows = side.of(part, table)
+                mine = batch.take(pa.array(at))
+                found = rows.take(pa.array(np.searchsorted(number, mine.column(shared.ROW).to_numpy()))).combine_chunks()
+                cols = [found[c].chunk(0) if found[c].num_chunks else pa.array([], found[c].type) for c in ("log_ppl", "n_units")]
+                yield pa.RecordBatch.from_arrays([*(mine.column(c) for c in names), *cols], [*names, "log_ppl", "n_units"])
+
+    schema = T.StructType([*[f for f in held.schema.fields if f.name != shared.ROW], T.StructField("log_ppl", T.DoubleType()), T.StructField("n_units", T.LongType())])
+    return held.mapInArrow(attach, schema).withColumn("perplexity", F.exp("log_ppl"))
+
+
+def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with ``log_ppl``, ``n_units`` and ``perplexity`` under a model of any documents."""
+    scan.small_batches(docs.sparkSession)
+    held = shared.parted(docs.drop(*ADDED), "kn-docs")
+    gathered = shared.written(gather(held, order, text, lang), "kn-grams")
+    values = shared.written(backed_off(gathered.select("lang", "code").distinct(), model, order), "kn-values")
+    return _with_scores(held, shared.Side(_scores(held, gathered, values, order, text, lang), "kn-scores"))
 
 
 def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
@@ -321,7 +310,7 @@ def bands(scored: DataFrame, lang: str = "lang") -> DataFrame:
 
 def decide(scored: DataFrame, limits: DataFrame, lang: str = "lang", z_low: float = Z_LOW, z_high: float = Z_HIGH, slack: float = SLACK) -> DataFrame:
     """``scored`` with ``ppl_low``, ``ppl_high`` (the document's band) and ``keep``."""
-    scored = _free(scored, ("band_lang", "centre", "spread", "ppl_low", "ppl_high", "keep")).withColumn("band_lang", F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)))
+    scored = scored.drop("band_lang", "centre", "spread", "ppl_low", "ppl_high", "keep").withColumn("band_lang", F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)))
     unit = F.col("spread") / F.sqrt(F.greatest("n_units", F.lit(1)))
     joined = scored.join(F.broadcast(limits), "band_lang", "left")  # one row per language
     out = joined.withColumn("ppl_low", F.exp(F.col("centre") * (1 - slack) - z_low * unit)).withColumn("ppl_high", F.exp(F.col("centre") * (1 + slack) + z_high * unit))
@@ -331,9 +320,14 @@ def decide(scored: DataFrame, limits: DataFrame, lang: str = "lang", z_low: floa
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, **params) -> DataFrame:
     """Every row of ``docs`` with its perplexity, its band and ``keep``."""
-    model = shared.written(fit(count_ngrams(docs, order, text, lang), order), "kn-model")
-    scored = shared.written(score(docs, model, order, text, lang), "kn-scored")
-    return decide(scored, bands(scored, lang), lang, **params)
+    scan.small_batches(docs.sparkSession)
+    held = shared.parted(docs.drop(*ADDED), "kn-docs")
+    gathered = shared.written(gather(held, order, text, lang), "kn-grams")
+    # the documents are the model's own, so each of their n-grams is in its highest order
+    top = smooth(totals(gathered), order)[order].select("lang", "code", F.log("p").alias("v"))
+    side = shared.Side(_scores(held, gathered, top, order, text, lang), "kn-scores")
+    known = docs.sparkSession.read.schema("lang string, log_ppl double, n_units long").parquet(side.path)
+    return decide(_with_scores(held, side), bands(known), lang, **params)
 
 
 def keep_in_band(docs: DataFrame, **params) -> DataFrame:

@@ -70,10 +70,45 @@ def test_scores_equal_the_textbook_model(spark, docs):
     p = brute([t for _, t, lang in DOCS if lang == "en"])
     other = spark.createDataFrame([(1, DOCS[0][1], "en"), (2, "the zebra sat", "en"), (3, "xq", "en")], "doc_id long, text string, lang string")
     want = {1: nll(p, DOCS[0][1]), 2: nll(p, "the zebra sat"), 3: nll(p, "xq")}
-    for limit in (P.MAX_BROADCAST_BYTES, 0):
-        got = {r.doc_id: r.log_ppl for r in P.score(other, model, max_broadcast_bytes=limit).collect()}
-        for k, v in want.items():
-            assert got[k] == pytest.approx(v, rel=1e-5), (limit, k)
+    got = {r.doc_id: r.log_ppl for r in P.score(other, model).collect()}
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-5), k
+
+
+@pytest.mark.parametrize("pieces", [1, 13])
+def test_judged_scores_equal_the_textbook_model(docs, pieces):
+    """Ties, repeated rows and a very long text, in one part or spread over several."""
+    long = ("the cat and the dog sat on a mat, " * 3000)[:-2]
+    more = docs.union(docs.sparkSession.createDataFrame([(8, long, "en"), (9, DOCS[0][1], "en"), (9, DOCS[0][1], "en")], docs.schema))
+    texts = defaultdict(list)
+    rows = more.collect()
+    for r in rows:
+        texts[r.lang or P.UNKNOWN].append(r.text)
+    p = {k: brute(v) for k, v in texts.items()}
+    got = P.judge(more.repartition(pieces)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.text:
+            assert r.log_ppl == pytest.approx(nll(p[r.lang or P.UNKNOWN], r.text), rel=1e-5)
+    assert len({(r.perplexity, r.keep) for r in got if r.doc_id in (1, 9)}) == 1
+
+
+def test_decision_by_plain_medians(docs):
+    """Bands and decisions against medians taken over Python lists."""
+    import statistics
+
+    sf = docs.sparkSession.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = P.judge(sf).collect()
+    for lang in {r.lang for r in rows}:
+        mine = [r for r in rows if r.lang == lang and r.perplexity is not None]
+        centre = statistics.median(round(math.log(r.perplexity), 4) for r in mine)
+        spread = 1.4826 * statistics.median(round(abs(math.log(r.perplexity) - centre) * math.sqrt(max(1, r.n_units)), 4) for r in mine)
+        for r in mine:
+            unit = spread / math.sqrt(max(1, r.n_units))
+            low, high = centre * (1 - P.SLACK) - P.Z_LOW * unit, centre * (1 + P.SLACK) + P.Z_HIGH * unit
+            x = math.log(r.perplexity)
+            if min(abs(x - low), abs(x - high)) > 1e-3:
+                assert r.keep == (low <= x <= high)
 
 
 def test_edge_rows(docs):
