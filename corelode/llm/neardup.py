@@ -217,7 +217,9 @@ def edges(reps: DataFrame) -> DataFrame:
     pairs = pair_keys(list(range(BYTES)), MIN_SHARED)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        forest = Forest()
+
+        def find(key: np.ndarray, fp: np.ndarray) -> None:
             pieces = []
             # long lists go on with the positions that their key leaves
             for k in np.unique(key >> 16):
@@ -225,9 +227,7 @@ def edges(reps: DataFrame) -> DataFrame:
                 pieces += [m + lo for m in links(key[lo:hi], fp[lo:hi], [x for x in range(BYTES) if x not in pairs[k]], MIN_SHARED - 2)]
             at = np.concatenate([np.zeros((0, 2), np.int64), *pieces]).astype(np.int64)
             raw = np.ascontiguousarray(fp).view(f"V{BYTES}").ravel()
-            a, b = raw[at[:, 0]].tolist(), raw[at[:, 1]].tolist()
-            both = {(min(x, y), max(x, y)) for x, y in zip(a, b)}
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in both], pa.binary()), pa.array([y for _, y in both], pa.binary())], ["a", "b"])
+            forest.add(raw[at[:, 0]].tolist(), raw[at[:, 1]].tolist())
 
         held: list[tuple[np.ndarray, np.ndarray]] = []
         rows = 0
@@ -240,14 +240,43 @@ def edges(reps: DataFrame) -> DataFrame:
                 key, fp = np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held])
                 whole = int(np.searchsorted(key, key[-1]))  # the last list may go on
                 if whole:
-                    yield found(key[:whole], fp[:whole])
+                    find(key[:whole], fp[:whole])
                 held, rows = [(key[whole:], fp[whole:])], 0
         if held:
-            yield found(np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held]))
+            find(np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held]))
+        yield from forest.stars()
 
     return lists.mapInArrow(search, "a binary, b binary").dropDuplicates(["a", "b"])
 
 
+class Forest:
+    """Links of a task, kept as one tree a component: what is shuffled is at most a row a fingerprint."""
+
+    def __init__(self) -> None:
+        self.up: dict[bytes, bytes] = {}
+
+    def root(self, x: bytes) -> bytes:
+        up = self.up
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    def add(self, a: list[bytes], b: list[bytes]) -> None:
+        for x, y in zip(a, b):
+            x, y = self.root(x), self.root(y)
+            if x != y:
+                self.up[max(x, y)] = min(x, y)
+
+    def stars(self, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+        """(a, b): the smallest fingerprint of each tree, and another one of it."""
+        a, b = [], []
+        for x in self.up:
+            if (r := self.root(x)) != x:
+                a.append(r), b.append(x)
+        for k in range(0, max(1, len(a)), rows):
+            yield pa.RecordBatch.from_arrays([pa.array(a[k : k + rows], pa.binary()), pa.array(b[k : k + rows], pa.binary())], ["a", "b"])
+
+
 def components(edges_ab: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of the graph can reach.
 

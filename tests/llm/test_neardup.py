@@ -159,3 +159,14 @@ def test_recall_against_text_similarity(spark):
     group = {r.doc_id: r.dup_of for r in N.groups(docs).collect()}
     apart = [(a, b) for a, b in near if group.get(ids[a], ids[a]) != group.get(ids[b], ids[b])]
     assert near and len(apart) <= 0.05 * len(near)
+
+
+def test_forest_keeps_components():
+    rng = np.random.default_rng(7)
+    names = [bytes([k]) * 4 for k in range(60)]
+    pairs = rng.integers(0, 60, (70, 2)).tolist()
+    forest = N.Forest()
+    forest.add([names[i] for i, _ in pairs], [names[j] for _, j in pairs])
+    stars = [(names.index(a), names.index(b)) for t in forest.stars(rows=7) for a, b in zip(t["a"].to_pylist(), t["b"].to_pylist())]
+    want, got = _roots(60, pairs), _roots(60, stars)
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got)) and len(stars) == 60 - len(set(want))
