@@ -11,9 +11,10 @@
    alignment reaches ``MIN_SCORE`` of the score of a perfect copy, so edited and
    paraphrased copies count too.
 
-The text is scanned once and never shuffled; only results are.  The benchmark is
-looked up from every task while its n-grams number at most ``MAX_LOCAL_GRAMS``;
-a larger one is joined to the n-grams of the documents instead.
+The texts are never shuffled; only results are.  The benchmark is a stated query
+set that is run against all documents in blocks: its items are dealt to blocks of
+at most ``BLOCK_WORDS`` words (or one longer item), which is counted before anything
+is sent, and each block is looked up in a scan of the documents.
 
 Defined results: documents or items whose text is null, empty or without words
 match nothing; items shorter than ``N`` words are matched whole, as one n-gram
@@ -31,13 +32,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import scan, shared
 
 N = 3
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-MAX_LOCAL_GRAMS = 2_000_000
+BLOCK_WORDS = 2_000_000
 
 
 class Benchmark:
@@ -161,20 +163,39 @@ def _scan(narrow: DataFrame, work, schema: str) -> DataFrame:
     return narrow.mapInArrow(run, schema)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", min_score: float = MIN_SCORE, max_local_grams: int = MAX_LOCAL_GRAMS) -> DataFrame:
+def _dealt(items: DataFrame, block_words: int) -> tuple[DataFrame, int]:
+    """(the items with a column ``block``, the number of blocks); no block of several items is larger than allowed."""
+    sized = shared.written(items.withColumn("words", F.size(F.split("text", r"\s+"))), "dc-items")
+    words, rows = sized.agg(F.coalesce(F.sum("words"), F.lit(0)), F.count(F.lit(1))).first()
+    blocks = max(1, -(-words // block_words))
+    while True:
+        dealt = sized.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+        if dealt.groupBy("block").agg(F.sum("words").alias("w"), F.count(F.lit(1)).alias("k")).filter((F.col("w") > block_words) & (F.col("k") > 1)).isEmpty():
+            return dealt, blocks
+        if blocks > 64 * rows:  # equal hashes: nothing can part them
+            raise ValueError("the items cannot be dealt to blocks")
+        blocks *= 2
+
+
+def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id", min_score: float = MIN_SCORE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of each document that holds an item."""
-    spark = docs.sparkSession
-    scan.small_batches(spark)
+    scan.small_batches(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id is not null and text is not null")
-    kind = dict(narrow.dtypes)["doc_id"]
     item_rows = items.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")).filter("item_id is not null and text is not null").distinct()
-    item_kind = dict(item_rows.dtypes)["item_id"]
-    out_schema = f"doc_id {kind}, item_id {item_kind}, score double, first_word long, last_word long"
-    words = item_rows.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
-    if words > max_local_grams:
-        return _by_join(narrow, item_rows, out_schema, min_score)
-    bench = Benchmark([tuple(r) for r in item_rows.collect()])
-    sent = spark.sparkContext.broadcast(bench)
+    dealt, blocks = _dealt(item_rows, block_words)
+    found: DataFrame | None = None
+    for k in range(blocks):
+        one = _search(narrow, dealt.filter(F.col("block") == k), min_score)
+        found = one if found is None else found.unionByName(one)
+    return _best(found)
+
+
+def _search(narrow: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
+    """The same for the items of a block; several alignments of a pair may be listed."""
+    item_type = items.schema["item_id"].dataType
+    schema = f"doc_id {dict(narrow.dtypes)['doc_id']}, item_id {item_type.simpleString()}, score double, first_word long, last_word long"
+    arrow = to_arrow_type(item_type)
+    sent = narrow.sparkSession.sparkContext.broadcast(Benchmark([tuple(r) for r in items.select("item_id", "text").collect()]))
 
     def match(ids: pa.Array, w: scan.Words) -> pa.RecordBatch:
         b = sent.value
@@ -192,13 +213,12 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
                 base = w.first[r]
                 h = w.hash[base : w.first[r + 1]]
                 found += [(r, *x) for x in align(b, h, at[lo:hi] - base, owner[lo:hi], place[lo:hi], min_score)]
-        item = pa.array([b.items[f[1]][0] for f in found]) if found else pa.array([], pa.int64())
-        cols = [ids.take(pa.array([int(f[0]) for f in found], pa.int64())), item, pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.int64()), pa.array([f[4] for f in found], pa.int64())]
-        target = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(item_kind)
-        cols[1] = cols[1].cast(target) if target is not None else cols[1]
+        cols = [ids.take(pa.array([int(f[0]) for f in found], pa.int64())), pa.array([b.items[f[1]][0] for f in found], arrow), pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.int64()), pa.array([f[4] for f in found], pa.int64())]
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "score", "first_word", "last_word"])
 
-    return _best(_scan(narrow, match, out_schema))
+    out = shared.written(_scan(narrow, match, schema), "dc-found")
+    sent.destroy()  # the driver holds one block at a time
+    return out
 
 
 def _best(rows: DataFrame) -> DataFrame:
@@ -207,50 +227,6 @@ def _best(rows: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", F.col("t.score").alias("score"), (-F.col("t.a")).alias("first_word"), (-F.col("t.b")).alias("last_word"))
 
 
-def _by_join(narrow: DataFrame, item_rows: DataFrame, out_schema: str, min_score: float) -> DataFrame:
-    """The same result with a benchmark of any size: n-grams meet in shuffled joins."""
-    docs = narrow.withColumn("did", F.expr("uuid()"))
-    docs = shared.written(docs, "dc-docs")
-    items = shared.written(item_rows.withColumn("iid", F.expr("uuid()")), "dc-items")
-
-    def grams(id_name: str, place_name: str):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column("text")
-                for i, j in scan.slices(texts):
-                    w = scan.words(texts.slice(i, j - i))
-                    for n in range(1, N + 1):
-                        at, h = scan.shingles(w, n)
-                        if id_name == "iid":
-                            size = np.diff(w.first)[w.row[at]]
-                            ok = np.minimum(size, N) == n
-                            at, h = at[ok], h[ok]
-                        ids = batch.column(id_name).slice(i, j - i).take(pa.array(w.row[at]))
-                        yield pa.RecordBatch.from_arrays([ids, pa.array((h ^ np.uint64(n)).astype(np.int64)), pa.array(at - w.first[w.row[at]])], [id_name, "gram", place_name])
-
-        return run
-
-    of_items = shared.written(items.select("iid", "text").mapInArrow(grams("iid", "place"), "iid string, gram long, place long"), "dc-item-grams")
-    of_docs = docs.select("did", "text").mapInArrow(grams("did", "at"), "did string, gram long, at long")
-    hits = shared.written(of_docs.join(of_items.select("gram").distinct(), "gram", "left_semi"), "dc-hits")
-    pairs = hits.join(of_items, "gram").groupBy("did", "iid").agg(F.collect_list(F.struct("at", "place")).alias("hits"))
-    both = pairs.join(docs, "did").join(items.select("iid", "item_id", F.col("text").alias("item_text")), "iid")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for r in range(batch.num_rows):
-                doc = scan.words(batch.column("text").slice(r, 1)).hash
-                bench = Benchmark([(0, batch.column("item_text")[r].as_py())])
-                hit = batch.column("hits")[r].as_py()
-                at, place = (np.array([h[c] for h in hit]) for c in ("at", "place"))
-                found += [(r, *x[1:]) for x in align(bench, doc, at, np.zeros(len(at), np.int64), place, min_score)]
-            take = pa.array([f[0] for f in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("item_id").take(take), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.int64()), pa.array([f[3] for f in found], pa.int64())], ["doc_id", "item_id", "score", "first_word", "last_word"])
-
-    return _best(both.select("doc_id", "text", "item_id", "item_text", "hits").mapInArrow(run, out_schema))
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", **params) -> DataFrame:
     """``docs`` without the documents that hold an item."""
     names = docs.columns

@@ -38,9 +38,9 @@ def cases(spark):
     return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("limit", [D.MAX_LOCAL_GRAMS, 0])
+@pytest.mark.parametrize("limit", [D.BLOCK_WORDS, 17])
 def test_copies_and_edited_copies_are_found(cases, limit):
-    got = {(r.doc_id, r.item_id): r.score for r in D.contaminated(*cases, max_local_grams=limit).collect()}
+    got = {(r.doc_id, r.item_id): r.score for r in D.contaminated(*cases, block_words=limit).collect()}
     assert set(got) == {(1, 10), (2, 10), (6, 11), (7, 10), (8, 10)}
     assert got[1, 10] == 1.0 and 0.5 < got[2, 10] < 1.0
 
@@ -52,6 +52,14 @@ def test_decontaminate_keeps_the_rest(cases):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 3, 4, 5]
 
 
+@pytest.mark.parametrize("kind", ["smallint", "string", "decimal(5,1)"])
+def test_ids_of_any_type(cases, kind):
+    docs, items = cases
+    got = D.contaminated(docs, items.withColumn("item_id", items.item_id.cast(kind)))
+    assert got.schema["item_id"].dataType == items.withColumn("item_id", items.item_id.cast(kind)).schema["item_id"].dataType
+    assert {(r.doc_id, int(float(r.item_id))) for r in got.collect()} == {(1, 10), (2, 10), (6, 11), (7, 10), (8, 10)}
+
+
 def test_empty_tables(spark, cases):
     docs, items = cases
     assert D.contaminated(docs.limit(0), items).count() == 0
@@ -77,7 +85,7 @@ def test_against_aligning_everything(sf):
     assert got <= want and len(got) >= 0.9 * len(want) and got
 
 
-@pytest.mark.parametrize("limit", [D.MAX_LOCAL_GRAMS, 0])
+@pytest.mark.parametrize("limit", [D.BLOCK_WORDS, 17])
 def test_edited_copies_without_a_verbatim_one_or_beside_it(spark, limit):
     """Seeds do not depend on which n-grams other documents hold."""
     rng = np.random.default_rng(3)
@@ -96,4 +104,4 @@ def test_edited_copies_without_a_verbatim_one_or_beside_it(spark, limit):
     docs = spark.createDataFrame(rows, SCHEMA)
     items = spark.createDataFrame([(q, " ".join(w)) for q, w in enumerate(plain)], "item_id long, text string")
     assert len(want) > 10
-    assert {(r.doc_id, r.item_id) for r in D.contaminated(docs, items, max_local_grams=limit).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in D.contaminated(docs, items, block_words=limit).collect()} == want
