@@ -12,28 +12,47 @@ from corelode.llm import decontaminate, mixing, neardup, perplexity, rans, share
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity lies within their language's band."""
+    """Documents whose perplexity lies within their language's band.
+
+    Null and empty texts go; a null language is a language of its own; rows that repeat
+    are judged alike and all stay or go; an empty table stays empty.
+    """
     return perplexity.keep_in_band(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, that with the smallest id.
+
+    Rows without an id stay; of rows that repeat an id one stays; null texts equal
+    nothing; an empty table stays empty.
+    """
     return neardup.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark, copied or edited."""
+    """Documents that hold no item of the benchmark, copied or edited.
+
+    Rows without an id or a text stay; an empty benchmark takes nothing away.
+    """
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The seeded choice of documents that fits each source's budget."""
+    """The seeded choice of documents that fits each source's budget, in tokens of the output.
+
+    Null and empty texts cost nothing and stay; a null source is a source of its own;
+    rows that repeat are taken or left together; an empty table stays empty.
+    """
     return mixing.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All remaining documents as rANS-coded blocks of token ids."""
-    return rans.blocks(docs)[0]
+    """All remaining documents as rANS-coded blocks of token ids, with their frequency table.
+
+    Null and empty texts are documents without tokens; null ids stay null; repeated rows
+    are coded as often as they occur; an empty table gives no rows.
+    """
+    return rans.blocks(docs)
 
 
 STAGES = [

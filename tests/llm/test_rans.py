@@ -36,28 +36,52 @@ def test_size_is_close_to_the_entropy():
 def coded(spark):
     rows = [(1, "Hello, it's 12 o'clock."), (2, None), (3, ""), (1, "Hello, it's 12 o'clock."), (None, "né <|endoftext|>"), (4, "long text " * 30000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    blocks, freq = R.blocks(docs.selectExpr("*", "1 as kind", "2 as n"), block_tokens=20)
-    return rows, blocks.cache(), freq
+    return rows, R.blocks(docs.selectExpr("*", "1 as kind", "2 as n"), block_tokens=20).cache()
 
 
 def test_documents_come_back(coded):
-    rows, blocks, freq = coded
+    rows, blocks = coded
     enc = R.encoder(R.VOCABULARY)
-    got = sorted((r.doc_id or 0, enc.decode(r.ids)) for r in R.read(blocks, freq).collect())
+    got = sorted((r.doc_id or 0, enc.decode(r.ids)) for r in R.read(blocks).collect())
     assert got == sorted((i or 0, t or "") for i, t in rows)
     assert blocks.count() > 1
 
 
 def test_a_broken_block_is_noticed(spark, coded):
-    _, blocks, freq = coded
-    bad = blocks.selectExpr("block_id", "doc_ids", "lengths", "n_tokens", "payload", "checkpoints", "crc32 + 1 as crc32", "token_crc32")
-    with pytest.raises(Exception, match="checksum"):
-        R.read(bad, freq).collect()
+    _, blocks = coded
+    for change in ("crc32 + 1 as crc32", "reverse(doc_ids) as doc_ids", "reverse(lengths) as lengths", "unhex(hex(concat(payload, payload))) as payload", "token_crc32 + 1 as token_crc32"):
+        name = change.split()[-1]
+        bad = blocks.selectExpr(*[change if c == name else c for c in blocks.columns])
+        with pytest.raises(Exception, match="match"):
+            R.read(bad).collect()
+
+
+def test_the_output_decodes_after_a_round_through_files(spark, coded, tmp_path):
+    """Nothing but the rows themselves is needed."""
+    rows, blocks = coded
+    blocks.write.parquet(str(tmp_path / "b"))
+    enc = R.encoder(R.VOCABULARY)
+    got = sorted((r.doc_id or 0, enc.decode(r.ids)) for r in R.read(spark.read.parquet(str(tmp_path / "b"))).collect())
+    assert got == sorted((i or 0, t or "") for i, t in rows)
+    assert [r.n_tokens for r in blocks.filter(f"block_id = {R.HEADER}").collect()] == [enc.n_vocab]
+
+
+def test_vocabularies_beyond_16_bits(spark, tmp_path):
+    import base64
+
+    more = "\n".join(f"{base64.b64encode(t).decode()} {n}" for n, t in enumerate([*(bytes([b]) for b in range(256)), *(b"%c%c%c" % (x, y, z) for x in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNO" for y in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNO" for z in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNO")]))
+    path = tmp_path / "wide.tiktoken"
+    path.write_text(more)
+    enc = R.encoder(str(path))
+    assert enc.n_vocab > 1 << 16
+    docs = spark.createDataFrame([(1, "plain bytes"), (2, "OOO")], "doc_id long, text string")
+    got = {r.doc_id: enc.decode(r.ids) for r in R.read(R.blocks(docs, vocabulary=str(path))).collect()}
+    assert got == {1: "plain bytes", 2: "OOO"}
 
 
 def test_empty_table_and_unseen_tokens(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert R.blocks(docs)[0].count() == 0
+    assert R.blocks(docs).count() == 0 and R.read(R.blocks(docs)).count() == 0
     table = R.Table(R.scale(np.zeros(100, np.int64)))
     t = np.arange(100, dtype=np.uint16)
     assert R.decode(*R.encode(t, table), 100, table).tolist() == t.tolist()
@@ -65,6 +89,6 @@ def test_empty_table_and_unseen_tokens(spark):
 
 def test_whole_table(sf):
     docs = sf("documents")
-    blocks, freq = R.blocks(docs)
+    blocks = R.blocks(docs)
     enc = R.encoder(R.VOCABULARY)
-    assert {r.doc_id: enc.decode(r.ids) for r in R.read(blocks, freq).collect()} == {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id: enc.decode(r.ids) for r in R.read(blocks).collect()} == {r.doc_id: r.text for r in docs.collect()}
