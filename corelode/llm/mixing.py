@@ -1,25 +1,28 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 The budget of a source is its target weight times the total.  Documents are
-counted by exact token length (white-space tokens) in each source.  A source first takes
-the same share of every length, rounded down; what then remains of its budget
-is filled as exactly as the leftover lengths allow by a bounded-knapsack
-dynamic programme over (length, count).  Which documents of a length are taken
-is decided by a seeded hash, so the choice is uniform and repeatable.
-
-Only (source, length, hash) triples are shuffled.  The choice comes back as one
-hash threshold per (source, length), so the texts never move.
+counted by exact token length in each source, in tokens of the vocabulary that the
+output is coded with.  A source first takes the same share of every length, rounded
+down; what then remains of its budget is filled as exactly as the leftover lengths
+allow by a bounded-knapsack dynamic programme over (length, count).  Which documents
+of a length are taken is decided by a seeded hash, so the choice is uniform and
+repeatable.
+
+The lengths are written once beside the documents.  Only (source, length, hash)
+triples are shuffled.  The choice comes back as one hash threshold per (source,
+length), so the texts never move.  A threshold is found by counting hashes in
+``2 ** BUCKET_BITS`` buckets and ranking inside the one bucket where the count is
+reached, so that a length that very many documents have is sorted by no task.
 
 By default the target weights are ``share ** temperature``, normalised, and the
 total is the largest that no source falls short of.
 
-Defined results: a null source is a source of its own; null and empty texts and
-texts of white space have length zero, cost nothing and are kept; rows that
-repeat a ``doc_id`` and a length in a source are one unit that costs their total
-and is taken or left as a whole; rows with a null ``doc_id`` are told apart by
-their text; a source that is missing from given weights, or whose weight is
-zero, gets no budget; a source with less text than its budget is taken whole;
-an empty table gives an empty table.
+Defined results: a null source is a source of its own; null and empty texts have
+length zero, cost nothing and are kept; rows that repeat a ``doc_id`` and a length
+in a source are one unit that costs their total and is taken or left as a whole;
+rows with a null ``doc_id`` are told apart by their text; a source that is missing
+from given weights, or whose weight is zero, gets no budget; a source with less
+text than its budget is taken whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,17 +32,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import shared
+from . import rans, shared
 
 TEMPERATURE = 0.7
 SEED = 17
 MAX_BROADCAST_ROWS = 4_000_000
+BUCKET_BITS = 16
 ROOM = 1 << 16  # tokens of a budget that the dynamic programme fills
 
 
-def tokens(text: Column) -> Column:
-    """The number of white-space tokens of a text."""
-    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"\S+")), F.lit(0)).cast("long")
+def measured(docs: DataFrame, vocabulary: str = rans.VOCABULARY, text: str = "text") -> DataFrame:
+    """``docs`` with ``_l``, the number of tokens of each text, written down."""
+    return shared.written(rans.counted(docs, "_l", vocabulary, text), "mix-docs")
 
 
 def knapsack(costs: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -138,9 +142,9 @@ def _units(rows: DataFrame) -> DataFrame:
 
 
 def plan(docs: DataFrame, weights: dict | None = None, total: int | None = None, seed: int = SEED, temperature: float = TEMPERATURE, text: str = "text", source: str = "source", doc_id: str = "doc_id"):
-    """(units, thresholds, budgets) of the mix; see :func:`mix`."""
+    """(units, thresholds, budgets) of the mix of measured documents; see :func:`mix`."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(source).cast("string").alias("source"), tokens(F.col(text)).alias("length"), _hash(doc_id, text, seed).alias("h"))
+    rows = docs.select(F.col(source).cast("string").alias("source"), F.col("_l").alias("length"), _hash(doc_id, text, seed).alias("h"))
     units = shared.written(_units(rows), "mix-units")
     have = default_weights(units, temperature)  # one row per source
     if weights is not None:
@@ -162,25 +166,38 @@ def plan(docs: DataFrame, weights: dict | None = None, total: int | None = None,
         return pdf[["source", "length", "m", "take"]]
 
     chosen = with_budget.groupBy("source").applyInPandas(choose, "source string, length long, m long, take long")
-    order = Window.partitionBy("source", "length", "m").orderBy("h")
-    c = chosen.filter("take > 0").select(F.col("source").alias("s"), F.col("length").alias("l"), F.col("m").alias("k"), "take")
-    on = F.col("source").eqNullSafe(F.col("s")) & (F.col("length") == F.col("l")) & (F.col("m") == F.col("k"))
-    ranked = units.withColumn("r", F.row_number().over(order)).join(c, on).filter("r <= take")
-    limits = shared.written(ranked.groupBy("source", "length", "m").agg(F.max("h").alias("h_max"), F.count(F.lit(1)).alias("taken")), "mix-limits")
+    chosen = shared.written(chosen.filter("take > 0"), "mix-chosen")
+    limits = shared.written(thresholds(units, chosen), "mix-limits")
     return units, limits, budgets
 
 
+def thresholds(units: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(source, length, m, h_max): the hash of the last unit taken of each (source, length, m)."""
+    key = ["source", "length", "m"]
+    bucket = F.shiftright("h", 64 - BUCKET_BITS).cast("int").alias("bucket")
+    upto = F.sum("n").over(Window.partitionBy(*key).orderBy("bucket"))  # at most a row a bucket
+    counts = units.groupBy(*key, bucket).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+    c = chosen.select(F.col("source").alias("s"), F.col("length").alias("l"), F.col("m").alias("k"), "take")
+    on = F.col("source").eqNullSafe(F.col("s")) & (F.col("length") == F.col("l")) & (F.col("m") == F.col("k"))
+    edge = counts.join(c, on).filter("upto - n < take and take <= upto")
+    edge = edge.select("s", "l", "k", F.col("bucket").alias("b"), (F.col("take") - F.col("upto") + F.col("n")).alias("rank"))
+    inside = units.select(*key, "h", bucket).join(edge, on & (F.col("bucket") == F.col("b")))
+    order = Window.partitionBy(*key).orderBy("h")
+    return inside.withColumn("r", F.row_number().over(order)).filter("r = rank").select(*key, F.col("h").alias("h_max"))
+
+
 def _hash(doc_id: str, text: str, seed: int) -> Column:
     return F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(seed), F.lit(0), F.col(text))).otherwise(F.xxhash64(F.lit(seed), F.lit(1), F.col(doc_id).cast("string")))
 
 
-def mix(docs: DataFrame, weights: dict | None = None, total: int | None = None, seed: int = SEED, temperature: float = TEMPERATURE, text: str = "text", source: str = "source", doc_id: str = "doc_id", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, total: int | None = None, seed: int = SEED, temperature: float = TEMPERATURE, text: str = "text", source: str = "source", doc_id: str = "doc_id", vocabulary: str = rans.VOCABULARY, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """The documents of the mix, with their own columns."""
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text, source, doc_id = (f"c{names.index(c)}" for c in (text, source, doc_id))
-    units, limits, _ = plan(inner, weights, total, seed, temperature, text, source, doc_id)
-    rows = inner.withColumn("_s", F.col(source).cast("string")).withColumn("_l", tokens(F.col(text))).withColumn("_h", _hash(doc_id, text, seed))
+    held = measured(inner, vocabulary, text)
+    units, limits, _ = plan(held, weights, total, seed, temperature, text, source, doc_id)
+    rows = held.withColumn("_s", F.col(source).cast("string")).withColumn("_h", _hash(doc_id, text, seed))
     # units of several rows are rare and named one by one
     many = units.filter("m > 1").select(F.col("source").alias("ms"), F.col("length").alias("ml"), F.col("h").alias("mh"), F.col("m").alias("mm"))
     if many.isEmpty():
