@@ -11,8 +11,11 @@ expression of tags, slots, ``( )+`` and ``( )?``, without unions.
 * The streams are folded where the pages are, and only distinct folded streams
   (with counts) are shuffled, so the work per host grows with the variety of its
   pages, not with their number; a hot host is no hot task.
-* The wrapper is compiled into a regular expression over one symbol a token and
-  matched against every page; a slot keeps all the texts it captures.
+* The wrapper is compiled into a position automaton, which reads a page in one pass
+  without backtracking; of several readings the one with the first places is
+  taken.  A slot keeps all the texts it captures.
+* Two streams are aligned row by row in memory proportional to their length, and
+  repeats of any length and number are folded, so long pages need no limits.
 * A slot that holds one and the same text wherever it occurs, on at least two pages
   of the host, is template text and is left out of the extracted text.
 
@@ -30,27 +33,24 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
 
-SEARCH_GROUP = 10
-SHAPE_ROUNDS = 64
-TIMEOUT = 5.0
+TABLE_CELLS = 1 << 22  # cells of an alignment that are held at once
+MEMO = 1 << 12  # streams of a task whose result is remembered
 TEXT = "#"
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)(?:\"[^\"]*\"|'[^']*'|[^'\">])*>?|([^<]+|<)", re.DOTALL | re.IGNORECASE)
 
 
-def host_of(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").hostname or "").lower()
-    except ValueError:
-        return ""
+def host_of(url: Column) -> Column:
+    """The lower-case host of an absolute URL, or the empty string."""
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1))
 
 
 def tokens(page: str) -> tuple[list[str], list[str]]:
@@ -85,15 +85,56 @@ def plain(labels: list[str]) -> Wrapper:
 
 def _same(a, b) -> bool:
     """Whether two atoms can be one: equal labels, or repeats that start alike."""
-    if isinstance(a, str) or isinstance(b, str):
-        return a == b
-    return _same(a[1][0][0], b[1][0][0])
+    return _class(a) == _class(b)
 
 
 def _join_atoms(a, b):
     return a if isinstance(a, str) or a == b else ("+", align(a[1], b[1]))
 
 
+def _class(atom):
+    """Equal for atoms that can be one: labels, or repeats that start alike."""
+    return atom if isinstance(atom, str) else ("+", _class(atom[1][0][0]))
+
+
+def _scores(x: np.ndarray, y: np.ndarray, weight: np.ndarray, keep: bool) -> np.ndarray:
+    """Row i: the best alignment of ``x[i:]`` with every ``y[j:]``; only row 0 unless ``keep``."""
+    rows = np.zeros((len(x) + 1 if keep else 1, len(y) + 1), dtype=np.int32)
+    row = rows[-1].copy()
+    for i in range(len(x) - 1, -1, -1):
+        new = row.copy()
+        hit = np.flatnonzero(y == x[i])
+        new[hit] = np.maximum(new[hit], row[hit + 1] + weight[i])
+        row = np.maximum.accumulate(new[::-1])[::-1]
+        if keep:
+            rows[i] = row
+    if not keep:
+        rows[0] = row
+    return rows
+
+
+def _matches(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[tuple[int, int]]:
+    """(i, j) of a best alignment; large tables are halved, so memory stays bounded."""
+    n, m = len(x), len(y)
+    if n * m > TABLE_CELLS and n > 1:
+        half = n // 2
+        below = _scores(x[half:], y, weight[half:], False)[0]
+        above = _scores(x[:half][::-1], y[::-1], weight[:half][::-1], False)[0][::-1]
+        cut = int(np.argmax(above + below))
+        return _matches(x[:half], y[:cut], weight[:half]) + [(i + half, j + cut) for i, j in _matches(x[half:], y[cut:], weight[half:])]
+    best = _scores(x, y, weight, True)
+    out, i, j = [], 0, 0
+    while i < n and j < m:
+        if x[i] == y[j] and best[i, j] == best[i + 1, j + 1] + weight[i]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i, j] == best[i + 1, j]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def align(a: Wrapper, b: Wrapper) -> Wrapper:
     """The least general of the wrappers that order both item lists."""
     if a == b:
@@ -107,41 +148,20 @@ def align(a: Wrapper, b: Wrapper) -> Wrapper:
         hi += 1
     head, tail = a[:lo], a[n - hi :] if hi else ()
     x, y = a[lo : n - hi], b[lo : m - hi]
-    n, m = len(x), len(y)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = max(best[i + 1][j], best[i][j + 1])
-            if _same(x[i][0], y[j][0]):
-                best[i][j] = max(best[i][j], best[i + 1][j + 1] + (1 if isinstance(x[i][0], str) else 2))
-    fresh = 1 + max([g for _, g in a + b], default=0)
-    out: list[Item] = []
+    kinds: dict = {}
+    number = lambda w: np.array([kinds.setdefault(_class(atom), len(kinds)) for atom, _ in w], dtype=np.int32)
+    weight = np.array([1 if isinstance(atom, str) else 2 for atom, _ in x], dtype=np.int32)
+    # an item comes and goes with its group in ``a`` and with its group in ``b``; -1 where a side lacks it
+    out: list[tuple] = []
     i = j = 0
-    left = right = 0  # group ids of the open gaps
-    while i < n or j < m:
-        if i < n and j < m and _same(x[i][0], y[j][0]) and best[i][j] == best[i + 1][j + 1] + (1 if isinstance(x[i][0], str) else 2):
-            out.append((_join_atoms(x[i][0], y[j][0]), x[i][1] or (fresh if y[j][1] and not x[i][1] else 0)))
-            if y[j][1] and not x[i][1]:
-                fresh += 1
-            i, j, left, right = i + 1, j + 1, 0, 0
-        elif i < n and (j == m or best[i][j] == best[i + 1][j]):
-            if x[i][1]:
-                out.append(x[i])
-            else:
-                if not left:
-                    left, fresh = fresh, fresh + 1
-                out.append((x[i][0], left))
-            i, right = i + 1, 0
-        else:
-            if y[j][1]:
-                out.append((y[j][0], fresh))
-                fresh += 1
-            else:
-                if not right:
-                    right, fresh = fresh, fresh + 1
-                out.append((y[j][0], right))
-            j, left = j + 1, 0
-    return _renumber(head + tuple(out) + tail)
+    for p, q in [*_matches(number(x), number(y), weight), (len(x), len(y))]:
+        out += [(atom, (g, -1)) for atom, g in x[i:p]]
+        out += [(atom, (-1, g)) for atom, g in y[j:q]]
+        if p < len(x):
+            out.append((_join_atoms(x[p][0], y[q][0]), (x[p][1], y[q][1])))
+        i, j = p + 1, q + 1
+    both = [*((atom, (g, g)) for atom, g in head), *out, *((atom, (g, g)) for atom, g in tail)]
+    return _renumber(tuple((atom, 0 if g == (0, 0) else g) for atom, g in both))
 
 
 def _renumber(w: Wrapper) -> Wrapper:
@@ -156,49 +176,65 @@ def _renumber(w: Wrapper) -> Wrapper:
     return tuple(out)
 
 
+def _tandem(ids: np.ndarray, size: int) -> np.ndarray:
+    """Places at which ``size`` items are followed by the same ones."""
+    same = np.concatenate([[0], np.cumsum(ids[:-size] == ids[size:])])
+    return np.flatnonzero(same[size:] - same[:-size] == size)
+
+
 def _fold_equal(w: Wrapper) -> Wrapper:
     """Equal neighbouring groups become repeats, shortest groups first."""
-    changed = True
-    while changed:
-        changed = False
-        for size in range(1, min(SEARCH_GROUP, len(w) // 2) + 1):
-            out: list[Item] = []
-            i = 0
-            while i < len(w):
-                group, k = w[i : i + size], 1
-                while len(group) == size and w[i + k * size : i + (k + 1) * size] == group:
-                    k += 1
-                if k > 1:
-                    body = group
-                    if size == 1 and not isinstance(group[0][0], str):
-                        out.append(group[0])  # a repeat of a repeat is the repeat
-                    else:
-                        out.append((("+", body), 0))
-                    i += k * size
-                    changed = True
-                else:
-                    out.append(w[i])
-                    i += 1
-            w = tuple(out)
-            if changed:
-                break
+    size = 1
+    kinds: dict = {}
+    ids = np.array([kinds.setdefault(x, len(kinds)) for x in w], dtype=np.int32)
+    while size <= len(w) // 2:
+        at = _tandem(ids, size)
+        if not len(at):
+            size += 1
+            continue
+        out: list[Item] = []
+        done = 0
+        for i in at.tolist():
+            if i < done:
+                continue
+            k = 2
+            while w[i + k * size : i + (k + 1) * size] == w[i : i + size]:
+                k += 1
+            out += w[done:i]
+            # a repeat of a repeat is the repeat
+            out.append(w[i] if size == 1 and not isinstance(w[i][0], str) else (("+", w[i : i + size]), 0))
+            done = i + k * size
+        w = (*out, *w[done:])
+        ids = np.array([kinds.setdefault(x, len(kinds)) for x in w], dtype=np.int32)
+        size = 1
     return w
 
 
+def _kind(atom) -> tuple:
+    """What repeats have in common whose bodies are merged before they are looked for."""
+    return tuple(x if isinstance(x, str) else "+" for x, _ in atom[1][:2])
+
+
 def _take(body: Wrapper, w: Wrapper, at: int) -> int:
     """How many items of ``w`` from ``at`` one pass of ``body`` takes; 0 if it does not fit."""
-    i = at
-    for atom, g in body:
-        if i < len(w) and not w[i][1] and (w[i][0] == atom or (not isinstance(atom, str) and _same(w[i][0], atom))):
-            i += 1
+    i, k = at, 0
+    while k < len(body):
+        g, e = body[k][1], k + 1
+        while g and e < len(body) and body[e][1] == g:
+            e += 1
+        run = w[i : i + e - k]
+        fits = len(run) == e - k and all(not o and (x == atom or (not isinstance(atom, str) and not isinstance(x, str) and _kind(x) == _kind(atom))) for (x, o), (atom, _) in zip(run, body[k:e]))
+        if fits:
+            i += e - k
         elif not g:
             return 0
+        k = e
     return i - at
 
 
 def _fold_alike(w: Wrapper) -> Wrapper:
     """Segments that start with the same two tags become one repeat of their alignment."""
-    for _ in range(SHAPE_ROUNDS):
+    while True:  # every round leaves a shorter list
         places: dict[tuple, list[int]] = {}
         for i in range(len(w) - 1):
             a, b = w[i][0], w[i + 1][0]
@@ -238,11 +274,12 @@ def _refold(w: Wrapper, bodies: list[Wrapper]) -> Wrapper:
         out: list[Item] = []
         i = 0
         while i < len(w):
-            n = _take(body, w, i) if len(body) > 1 else 0
-            if n > 1:
-                while (k := _take(body, w, i + n)) > 1:
-                    n += k
-                out.append((("+", body), 0))
+            grown, n = body, 0
+            while len(body) > 1 and (k := _take(body, w, i + n)) > 1:
+                grown = align(grown, w[i + n : i + n + k])  # repeats inside may differ
+                n += k
+            if n:
+                out.append((("+", grown), 0))
                 i += n
             else:
                 out.append(w[i])
@@ -256,15 +293,28 @@ def infer(shapes: list[Wrapper]) -> Wrapper:
     merged: dict = {}
     for s in shapes:
         for body in _bodies(s):
-            key = tuple(x if isinstance(x, str) else "+" for x, _ in body[:2])
+            key = _kind(("+", body))
             merged[key] = align(merged[key], body) if key in merged else body
     bodies = sorted(merged.values(), key=lambda b: (len(b), repr(b)))
     wrapper: Wrapper | None = None
     for s in dict.fromkeys(_refold(s, bodies) for s in shapes):
         wrapper = s if wrapper is None else align(wrapper, s)
+    # a stream whose repeats were replaced by ones that do not read it is aligned as it was
+    known = Compiled(wrapper or ())
+    for s in shapes:
+        if known.slots_of(_labels(s)) is None:
+            wrapper = align(wrapper, s)
     return wrapper or ()
 
 
+def _labels(w: Wrapper) -> list[str]:
+    """A stream that the wrapper matches: every repeat once, every optional group present."""
+    out: list[str] = []
+    for atom, _ in w:
+        out += [atom] if isinstance(atom, str) else _labels(atom[1])
+    return out
+
+
 def expression(w: Wrapper) -> str:
     """The wrapper in readable form: tags, ``#`` slots, ``( )+`` and ``( )?``."""
     out, k = [], 0
@@ -279,53 +329,93 @@ def expression(w: Wrapper) -> str:
 
 
 class Compiled:
-    """A wrapper as a regular expression over one character a token."""
+    """A wrapper as an automaton whose states are the places of labels in it."""
 
     def __init__(self, w: Wrapper):
-        import regex
-
-        self.symbol: dict[str, str] = {TEXT: "#"}
+        self.label: list[str] = []
+        self.slot: list[int] = []
+        self.follow: list[int] = []
         self.slots = 0
-        self.pattern = regex.compile(self._write(w), flags=regex.V1) if w else None
-
-    def _of(self, label: str) -> str:
-        # private-use characters never need escaping
-        return self.symbol.setdefault(label, chr(0xE000 + len(self.symbol)))
-
-    def _write(self, w: Wrapper) -> str:
-        out, k = "", 0
+        self.first, self.last, self.empty = self._build(w)
+        self.places: dict[str, int] = {}
+        for p, x in enumerate(self.label):
+            self.places[x] = self.places.get(x, 0) | 1 << p
+        self.memo: dict[tuple, list[int] | None] = {}
+
+    def _build(self, w: Wrapper) -> tuple[int, int, bool]:
+        """(first places, last places, whether nothing matches) of a wrapper, as bits."""
+        first, last, empty = 0, 0, True
+        k = 0
         while k < len(w):
             g, e = w[k][1], k + 1
             while g and e < len(w) and w[e][1] == g:
                 e += 1
-            s = ""
+            f1, l1, e1 = 0, 0, True
             for atom, _ in w[k:e]:
-                if atom == TEXT:
-                    s += f"(?P<s{self.slots}>\\#)"
-                    self.slots += 1
-                elif isinstance(atom, str):
-                    s += self._of(atom)
-                else:
-                    s += f"(?:{self._write(atom[1])})+"
-            out += f"(?:{s})?" if g else s
+                f2, l2, e2 = self._atom(atom)
+                f1, l1, e1 = self._then(f1, l1, e1, f2, l2, e2)
+            first, last, empty = self._then(first, last, empty, f1, l1, e1 or bool(g))
             k = e
-        return out
+        return first, last, empty
+
+    def _then(self, f1: int, l1: int, e1: bool, f2: int, l2: int, e2: bool) -> tuple[int, int, bool]:
+        for p in _bits(l1):
+            self.follow[p] |= f2
+        return f1 | (f2 if e1 else 0), l2 | (l1 if e2 else 0), e1 and e2
+
+    def _atom(self, atom) -> tuple[int, int, bool]:
+        if isinstance(atom, str):
+            p = len(self.label)
+            self.label.append(atom)
+            self.slot.append(self.slots if atom == TEXT else -1)
+            self.slots += atom == TEXT
+            self.follow.append(0)
+            return 1 << p, 1 << p, False
+        first, last, empty = self._build(atom[1])
+        for p in _bits(last):
+            self.follow[p] |= first
+        return first, last, empty
 
     def slots_of(self, labels: list[str]) -> list[int] | None:
         """The slot of each text of a page, or None where the page does not match."""
-        if self.pattern is None:
-            return [] if not labels else None
-        if any(x not in self.symbol for x in labels):
-            return None
-        stream = "".join(self.symbol[x] for x in labels)
-        try:
-            m = self.pattern.fullmatch(stream, timeout=TIMEOUT)
-        except TimeoutError:
+        key = tuple(labels)
+        if key not in self.memo:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[key] = self._read(labels)
+        return self.memo[key]
+
+    def _read(self, labels: list[str]) -> list[int] | None:
+        if not labels:
+            return [] if self.empty else None
+        states = []
+        now = self.first
+        for x in labels:
+            now &= self.places.get(x, 0)
+            if not now:
+                return None
+            states.append(now)
+            reach = 0
+            for p in _bits(now):
+                reach |= self.follow[p]
+            now = reach
+        # back from the end, the first place that leads on
+        end = states[-1] & self.last
+        if not end:
             return None
-        if m is None:
-            return None
-        at = sorted((begin, k) for k in range(self.slots) for begin in m.starts(f"s{k}"))
-        return [k for _, k in at]
+        at = (end & -end).bit_length() - 1
+        path = [at]
+        for k in range(len(labels) - 2, -1, -1):
+            at = next(p for p in _bits(states[k]) if self.follow[p] >> at & 1)
+            path.append(at)
+        return [self.slot[p] for p in reversed(path) if self.slot[p] >= 0]
+
+
+def _bits(x: int) -> Iterator[int]:
+    while x:
+        low = x & -x
+        yield low.bit_length() - 1
+        x ^= low
 
 
 def _dump(w: Wrapper) -> str:
@@ -345,16 +435,17 @@ def wrappers(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """(host, wrapper, expression, pages): the wrapper of every host."""
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw: dict[tuple, int] = {}
-        for batch in batches:
-            for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                labels, _ = tokens(h or "")
-                key = (host_of(u), _dump(_fold_equal(plain(labels))))
-                raw[key] = raw.get(key, 0) + 1
         seen: dict[tuple, int] = {}
-        for (host, s), n in raw.items():
-            key = (host, _dump(_fold_alike(_load(s))))
-            seen[key] = seen.get(key, 0) + n
+        memo: dict[tuple, str] = {}
+        for batch in batches:
+            for host, h in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                stream = tuple(tokens(h or "")[0])
+                shape = memo.get(stream)
+                if shape is None:
+                    if len(memo) >= MEMO:
+                        memo.clear()
+                    shape = memo[stream] = _dump(fold(list(stream)))
+                seen[host, shape] = seen.get((host, shape), 0) + 1
         keys = list(seen)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())], ["host", "shape", "n"])
 
@@ -363,7 +454,7 @@ def wrappers(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         w = infer([_load(s) for s in pdf["shape"]])
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [_dump(w)], "expression": [expression(w)], "pages": [int(pdf["n"].sum())]})
 
-    distinct = _narrow(pages, page_id, url, html).select("url", "html").mapInArrow(shapes, "host string, shape string, n long").groupBy("host", "shape").agg(F.sum("n").alias("n"))
+    distinct = _narrow(pages, page_id, url, html).select(host_of(F.col("url")).alias("host"), "html").mapInArrow(shapes, "host string, shape string, n long").groupBy("host", "shape").agg(F.sum("n").alias("n"))
     return distinct.groupBy("host").applyInPandas(merge, "host string, wrapper string, expression string, pages long")
 
 
@@ -372,11 +463,7 @@ def parse(pages: DataFrame, known: DataFrame, page_id: str = "page_id", url: str
     narrow = _narrow(pages, page_id, url, html)
     kind = dict(narrow.dtypes)["page_id"]
 
-    def hosts(urls: pd.Series) -> pd.Series:
-        return urls.map(host_of)
-
-    host = F.pandas_udf(hosts, "string")
-    joined = narrow.withColumn("host", host(F.coalesce("url", F.lit("")))).join(known.select("host", "wrapper"), "host", "left")
+    joined = narrow.withColumn("host", host_of(F.col("url"))).join(known.select("host", "wrapper"), "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

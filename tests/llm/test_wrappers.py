@@ -1,6 +1,10 @@
 import random
+import time
+from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow.parquet as pq
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -73,7 +77,7 @@ def test_wrappers_match_all_pages_of_the_table():
     t = pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pandas()
     streams = {}
     for u, h in zip(t.url, t.html):
-        streams.setdefault(W.host_of(u), []).append(W.tokens(h)[0])
+        streams.setdefault(urlsplit(u).hostname, []).append(W.tokens(h)[0])
     for mine in streams.values():
         shapes = sorted({W.fold(x) for x in mine}, key=repr)
         c = W.Compiled(W.infer(shapes))
@@ -106,3 +110,65 @@ def test_edge_rows(spark):
     by = {r.page_id: r.text for r in got}
     assert by[1] == "" and by[2] == "" and by[6].count("q") == 30000
     assert W.extract(d.limit(0)).count() == 0
+
+
+def test_hosts(spark):
+    rows = ["http://A.Example/x y", "https://u:p@b.example:80/?q=http://z/", "no scheme/x", None, "", "ftp://[::1]:2/", "http://c.example#f"]
+    got = [r.h for r in spark.createDataFrame([(u,) for u in rows], "url string").select(W.host_of(W.F.col("url")).alias("h")).collect()]
+    assert got == ["a.example", "b.example", "", "", "", "[::1]", "c.example"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=12), st.lists(st.integers(0, 3), max_size=12), st.sampled_from([1, 4, 1 << 22]))
+def test_alignments_are_best_at_any_table_size(x, y, cells):
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x) - 1, -1, -1):
+        for j in range(len(y) - 1, -1, -1):
+            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + (1 + x[i] % 2 if x[i] == y[j] else 0))
+    keep, W.TABLE_CELLS = W.TABLE_CELLS, cells
+    try:
+        got = W._matches(np.array(x, np.int32), np.array(y, np.int32), np.array([1 + v % 2 for v in x], np.int32))
+    finally:
+        W.TABLE_CELLS = keep
+    assert sum(1 + x[i] % 2 for i, _ in got) == best[0][0]
+    assert all(x[i] == y[j] for i, j in got) and all(a < c and b < d for (a, b), (c, d) in zip(got, got[1:]))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "/a", "#"]), max_size=10), min_size=1, max_size=4), st.lists(st.sampled_from(["a", "b", "/a", "#"]), max_size=10))
+def test_automaton_reads_what_backtracking_reads(streams, other):
+    w = W.infer([W.fold(x) for x in streams])
+    c = W.Compiled(w)
+    for x in [*streams, other]:
+        got = c.slots_of(x)
+        assert (got is not None) == (accepts(w, x) if w else not x)
+        if got is not None:
+            assert len(got) == x.count("#")
+
+
+def test_long_repeats_and_many_groups_fold():
+    row = [f"t{k}" for k in range(25)]
+    assert W.expression(W.fold(row * 3)) == "( " + " ".join(f"<{x}>" for x in row) + " )+"
+    many = [x for k in range(80) for n in range(2) for x in (f"g{k}", f"h{k}", "#", *["b"] * (n + 1), f"/h{k}", f"/g{k}")]
+    folded = W.fold(many)
+    assert len(folded) == 80 and all(not isinstance(a, str) for a, _ in folded)
+
+
+def test_long_varied_pages_take_seconds(spark):
+    """Pages of tens of thousands of tokens that hardly fold, on one host with short ones."""
+    rng = random.Random(3)
+    pages = ["".join(f"<{rng.choice('pqrstuvw')}{rng.randrange(9)}>text {k}" for k in range(n)) for n in (12000, 12000, 10)]
+    began = time.time()
+    w = W.infer([W.fold(W.tokens(p)[0]) for p in pages])
+    assert all(W.Compiled(w).slots_of(W.tokens(p)[0]) is not None for p in pages)
+    assert time.time() - began < 120
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_extracted_text_against_plain_reading(spark, n):
+    """The template is what every page has; the rest is the content, in order."""
+    pages = [(k, "http://h.example/%d" % k, "<html><b>Site name</b><h1>title %d</h1><ul>%s</ul><i>footer</i></html>" % (k, "".join(f"<li>item {k} {j}</li>" for j in range(1 + k % 3)))) for k in range(n)]
+    got = {r.page_id: r.text for r in W.extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    for k in range(n):
+        content = [f"title {k}", *[f"item {k} {j}" for j in range(1 + k % 3)]]
+        assert got[k].split("\n") == (content if n > 1 else ["Site name", *content, "footer"])
