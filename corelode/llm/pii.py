@@ -13,15 +13,17 @@ can invert it.
     e164     8-15 digits after a plus sign; the country code is kept
     ipv4     four numbers up to 255
     ssn      valid 3-2-4 numbers
-    iban     valid mod-97 account numbers; the country is kept
-    date     calendar dates from 1900 to 2099 in five layouts
-    email    letters and digits of the local part
+    iban     valid mod-97 account numbers in either case; the country is kept
+    date     calendar dates from 1900 to 2099 in seven layouts; a date that is valid
+             with day or month first is read as is usual with its separator
+    email    letters and digits of the local part, of any length and script; letters
+             outside ASCII stay in their case and block of 256 code points
     secret   32 or more hex digits assigned to a token, key, secret or password
 
 Numbers that fail validation are left alone and hide no other number.  Of a run of digit groups the sub-runs in a layout of cards
 are tried first, then the longest; a pseudonym is inverted exactly unless another
 sub-run that holds it and is tried before happens to pass the check.  The default key is for tests;
-production passes its own.
+production passes its own, of any length.
 
 Defined results: a null text stays null and an empty one empty; a text of any
 length is processed whole; repeated rows get equal results; an empty table gives
@@ -33,6 +35,9 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import string
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from math import isqrt
@@ -57,7 +62,8 @@ class Feistel:
         self.size = size
         self.a = isqrt(size - 1) + 1 if size > 1 else 1
         self.b = -(-size // self.a)
-        self.base = hashlib.blake2b(f"{tweak}:{size}".encode(), key=key[:64], digest_size=32).digest()
+        key = key if len(key) <= 64 else hashlib.blake2b(key).digest()
+        self.base = hashlib.blake2b(f"{tweak}:{size}".encode(), key=key, digest_size=32).digest()
 
     def _f(self, r: int, x: int) -> int:
         return int.from_bytes(hashlib.blake2b(r.to_bytes(1, "big") + x.to_bytes((x.bit_length() + 7) // 8, "big"), key=self.base, digest_size=16).digest(), "big")
@@ -176,46 +182,49 @@ class Pseudonyms:
         if not is_iban(flat):
             return None
         body = flat[4:]
-        body = _refill(body, self._digits("iban" + flat[:2], re.sub(r"\D", "", body)))
+        body = _refill(body, self._digits("iban" + flat[:2].upper(), re.sub(r"\D", "", body)))
         check = 98 - _number(body + flat[:2] + "00") % 97
         out = iter(flat[:2] + f"{check:02d}" + body)
         return "".join(c if c == " " else next(out) for c in v)
 
     def date(self, v: str) -> str | None:
-        for pattern, layout in DATES:
+        for pattern, layouts in DATES:
             if pattern.fullmatch(v):
-                try:
-                    day = dt.datetime.strptime(v, layout).date()
-                except ValueError:
-                    return None
-                k = day.toordinal() - FIRST_DAY
-                if not 0 <= k < DAYS:
-                    return None
-                new = dt.date.fromordinal(FIRST_DAY + self.permute("date", DAYS, k))
-                return new.strftime(layout)
+                break
+        else:
+            return None
+        for k, layout in enumerate(layouts):
+            try:
+                day = dt.datetime.strptime(v, layout).date()
+            except ValueError:
+                continue
+            at = day.toordinal() - FIRST_DAY
+            if not 0 <= at < DAYS:
+                return None
+            if k == 0:
+                return dt.date.fromordinal(FIRST_DAY + self.permute("date", DAYS, at)).strftime(layout)
+            # read the other way round only where the usual way fails: such dates are permuted among themselves
+            late = _late_days()
+            new = late[self.permute("late", len(late), bisect_left(late, at))]
+            return dt.date.fromordinal(FIRST_DAY + new).strftime(layout)
         return None
 
     def email(self, v: str) -> str | None:
         local, _, domain = v.rpartition("@")
-        digits = "".join(c for c in local if c.isdigit() and c.isascii())
-        letters = "".join(c for c in local if c.isascii() and c.isalpha())
-        if not digits and not letters:
+        sets = [(k, _letters(c)) for k, c in enumerate(local) if c.isalnum()]
+        sets = [(k, x) for k, x in sets if len(x) > 1]
+        if not sets:
             return None
-        size = 26 ** len(letters) * 10 ** len(digits)
-        n = 0
-        for c in letters.lower():
-            n = n * 26 + ord(c) - 97
-        n = n * 10 ** len(digits) + int(digits or 0)
-        n = self.permute(f"email{len(letters)}:{domain.lower()}", size, n)
-        n, d = divmod(n, 10 ** len(digits))
-        d_it = iter(str(d).zfill(len(digits)) if digits else "")
-        out = []
-        for _ in letters:
-            n, r = divmod(n, 26)
-            out.append(chr(97 + r))
-        l_it = reversed(out)
-        new = "".join(next(d_it) if c.isdigit() and c.isascii() else (next(l_it).upper() if c.isupper() else next(l_it)) if c.isascii() and c.isalpha() else c for c in local)
-        return f"{new}@{domain}"
+        n, size = 0, 1
+        for k, letters in sets:
+            n, size = n * len(letters) + letters.index(local[k]), size * len(letters)
+        kinds = ",".join(letters[0] for _, letters in sets)
+        n = self.permute(f"email:{domain.lower()}:{kinds.lower()}", size, n)
+        out = list(local)
+        for k, letters in reversed(sets):
+            n, r = divmod(n, len(letters))
+            out[k] = letters[r]
+        return f"{''.join(out)}@{domain}"
 
     def secret(self, v: str) -> str | None:
         n = self.permute("secret", 16 ** len(v), int(v, 16))
@@ -223,6 +232,24 @@ class Pseudonyms:
         return out.upper() if v.isupper() else out
 
 
+@lru_cache(maxsize=1)
+def _late_days() -> list[int]:
+    """Days, counted from the first, on the thirteenth or later of a month."""
+    return [k for k in range(DAYS) if dt.date.fromordinal(FIRST_DAY + k).day > 12]
+
+
+@lru_cache(maxsize=4096)
+def _letters(c: str) -> str:
+    """The characters among which ``c`` is permuted: digits, letters of its case and block."""
+    if c.isascii():
+        return string.digits if c.isdigit() else string.ascii_lowercase if c.islower() else string.ascii_uppercase
+    kind, block = unicodedata.category(c), ord(c) & ~255
+    # letters that change under normalisation are left out, so that texts stay normalised
+    stays = lambda x: unicodedata.category(x) == kind and unicodedata.normalize("NFKC", x) == x
+    out = "".join(x for x in map(chr, range(max(block, 128), block + 256)) if stays(x))
+    return out if c in out else c
+
+
 @lru_cache(maxsize=4096)
 def _network(key: bytes, kind: str, size: int) -> Feistel:
     return Feistel(key, kind, size)
@@ -232,9 +259,9 @@ def _network(key: bytes, kind: str, size: int) -> Feistel:
 COUNTRIES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 # digits a group of the usual card numbers
 CARD_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), *((n,) for n in range(13, 20))}
-DATES = [(re.compile(p), f) for p, f in ((r"\d{4}-\d\d-\d\d", "%Y-%m-%d"), (r"\d{4}/\d\d/\d\d", "%Y/%m/%d"), (r"\d\d/\d\d/\d{4}", "%m/%d/%Y"), (r"\d\d\.\d\d\.\d{4}", "%d.%m.%Y"), (r"\d\d-\d\d-\d{4}", "%d-%m-%Y"))]
+DATES = [(re.compile(p, re.ASCII), f) for p, f in ((r"\d{4}-\d\d-\d\d", ["%Y-%m-%d"]), (r"\d{4}/\d\d/\d\d", ["%Y/%m/%d"]), (r"\d\d/\d\d/\d{4}", ["%m/%d/%Y", "%d/%m/%Y"]), (r"\d\d\.\d\d\.\d{4}", ["%d.%m.%Y"]), (r"\d\d-\d\d-\d{4}", ["%d-%m-%Y", "%m-%d-%Y"]))]
 _NUMBERS = re.compile(
-    r"(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}\d\d(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z]))"
+    r"(?P<iban>(?<![0-9A-Za-z])[A-Za-z]{2}\d\d(?: ?[0-9A-Za-z]{4}){2,7}(?: ?[0-9A-Za-z]{1,3})?(?![0-9A-Za-z]))"
     r"|(?P<date>(?<![\d.,/-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4}|\d\d-\d\d-\d{4})(?![\d/-]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-]))"
     r"|(?P<ipv4>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))"
@@ -245,8 +272,7 @@ _NUMBERS = re.compile(
 _CARDS = re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,}(?![\d-])", re.ASCII)
 _GROUP = re.compile(r"\d+", re.ASCII)
 _START = re.compile(r"[0-9]", re.ASCII)
-_EMAIL_LEFT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?$")
-_EMAIL_RIGHT = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}")
+_EMAIL_RIGHT = re.compile(r"[^\W_](?:(?:[^\W_]|-)*[^\W_])?(?:\.[^\W_](?:(?:[^\W_]|-)*[^\W_])?)*\.[^\W\d_]{2,}")
 _SECRET = re.compile(r"(?i:token|key|secret|password|passwd|pwd)[\"']?\s*[:=]\s*[\"']?([0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])")
 
 
@@ -291,15 +317,27 @@ def _numbers(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
+def _local_part(text: str, at: int) -> int:
+    """Where the local part of an address begins that ends before ``at``; ``at`` if there is none."""
+    if not at or not text[at - 1].isalnum():
+        return at
+    i = at
+    while i and (text[i - 1].isalnum() or text[i - 1] in "._%+-"):
+        i -= 1
+    while not text[i].isalnum():
+        i += 1
+    return i
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of each candidate, in order and without overlaps."""
     out: list[tuple[int, int, str]] = []
     at = text.find("@")
     while at >= 0:
-        left = _EMAIL_LEFT.search(text, max(0, at - 64), at)
-        right = _EMAIL_RIGHT.match(text, at + 1)
-        if left and right:
-            out.append((left.start(), right.end(), "email"))
+        left = _local_part(text, at)
+        right = _EMAIL_RIGHT.match(text, at + 1) if left < at else None
+        if right:
+            out.append((left, right.end(), "email"))
         at = text.find("@", at + 1)
     if _START.search(text):
         out += [(m.start(1), m.end(1), "secret") for m in _SECRET.finditer(text)]
