@@ -8,11 +8,12 @@ messages wrote themselves, so each quote names its source.
 
 A message answers the message that its shallowest linked depth quotes most, in
 characters; where it quotes none that is known, it answers the turn before it.
-A source must have a smaller turn; sources in the same conversation come first,
-then, for text that the own conversation lacks, the earliest message of any
-conversation that wrote it.  Conversations joined by such quotes become one
-thread.  Each thread is written out in reply order (each message, then its
-answers by turn, depth first) without quotes and attribution lines.
+Sources with a smaller turn in the same conversation come first, then, for text
+that the own conversation lacks, the earliest message of another conversation that
+wrote it; turns of different conversations do not bind each other.  Conversations
+joined by such quotes become one thread.  Each thread is written out in reply order
+(each message, then its answers by turn, depth first) without quotes and attribution
+lines; where messages answer each other in a circle, the first of them answers none.
 
 A quoted unit meets at most the sources of its own conversation and one more, so
 common phrases do not multiply.
@@ -42,7 +43,7 @@ from . import neardup, scan, shared
 MIN_WORDS = 3
 OUT_ROWS = 5000
 _QUOTE = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)")
-_ATTRIBUTION = re.compile(r"^.{0,200}\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$", re.IGNORECASE)
+_ATTRIBUTION = re.compile(r"\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:$", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 _EDGE = re.compile(r"^\W+|\W+$")
 
@@ -55,7 +56,7 @@ def lines(text: str) -> list[tuple[int, str]]:
         out.append((m.group(1).count(">"), line[m.end() :]) if m else (0, line))
     keep = []
     for k, (depth, line) in enumerate(out):
-        if _ATTRIBUTION.match(line.strip()):
+        if (bare := line.rstrip()).endswith(":") and _ATTRIBUTION.search(bare, max(0, len(bare.rstrip(": \t")) - 16)):
             after = next((d for d, x in out[k + 1 :] if x.strip() or d > depth), depth)
             if after > depth:
                 continue
@@ -139,8 +140,13 @@ def links(messages: DataFrame) -> DataFrame:
     here = own.select("hash", "conv_id", F.col("turn").alias("src_turn")).distinct()
     near = quoted.join(here, ["hash", "conv_id"]).filter("src_turn < turn").select("mid", "depth", "hash", "size", F.col("conv_id").alias("src_conv"), "src_turn")
     rest = quoted.join(near.select("mid", "depth", "hash").distinct(), ["mid", "depth", "hash"], "left_anti")
-    first = own.groupBy("hash").agg(F.min(F.struct(F.col("turn").alias("t"), F.col("conv_id").alias("c"))).alias("src"))
-    far = rest.join(first, "hash").filter("src.t < turn").select("mid", "depth", "hash", "size", F.col("src.c").alias("src_conv"), F.col("src.t").alias("src_turn"))
+    # the earliest writer, and the earliest of another conversation than its
+    place = F.struct(F.col("src_turn").alias("t"), F.col("conv_id").alias("c"))
+    each = here.groupBy("hash", "conv_id").agg(F.min("src_turn").alias("src_turn"))
+    first = each.groupBy("hash").agg(F.min(place).alias("one"))
+    second = each.join(first, "hash").filter("conv_id <> one.c").groupBy("hash").agg(F.min(place).alias("two"))
+    writers = first.join(second, "hash", "left")
+    far = rest.join(writers, "hash").withColumn("src", F.when(F.col("one.c") != F.col("conv_id"), F.col("one")).otherwise(F.col("two"))).filter("src is not null").select("mid", "depth", "hash", "size", F.col("src.c").alias("src_conv"), F.col("src.t").alias("src_turn"))
     return near.unionByName(far).groupBy("mid", "depth", "src_conv", "src_turn").agg(F.sum("size").alias("chars"))
 
 
@@ -156,15 +162,31 @@ def order(rows: list[tuple]) -> list[tuple[int, object]]:
     first: dict[tuple, int] = {}
     for k, (c, t, _, _) in enumerate(rows):
         first.setdefault((c, t), k)
-    children: dict[int | None, list[int]] = defaultdict(list)
     before: dict[object, tuple] = {}
+    parent: list[int | None] = []
     for k in range(len(rows)):
         c, t, pc, pt = rows[k]
         up = first.get((pc, pt)) if pc is not None else None
         if up is None and before.get(c) is not None:
             up = first.get((c, before[c])) if before[c] != t else first.get((c, t)) if first[(c, t)] != k else None
-        children[up if up != k else None].append(k)
+        parent.append(up if up != k else None)
         before[c] = t
+    # a circle is opened at its first message
+    seen = [0] * len(rows)
+    for k in range(len(rows)):
+        at: int | None = k
+        while at is not None and not seen[at]:
+            seen[at] = k + 1
+            at = parent[at]
+        if at is not None and seen[at] == k + 1:
+            circle, x = [at], parent[at]
+            while x != at:
+                circle.append(x)
+                x = parent[x]
+            parent[min(circle)] = None
+    children: dict[int | None, list[int]] = defaultdict(list)
+    for k, up in enumerate(parent):
+        children[up].append(k)
     out: list[tuple[int, object]] = []
     stack = [(k, 0) for k in reversed(children[None])]
     while stack:

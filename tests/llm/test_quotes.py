@@ -17,6 +17,28 @@ ROWS = [
 def test_depths_and_attributions():
     assert Q.lines("x\n> y\n>> z\n> > w\n a > b") == [(0, "x"), (1, "y"), (2, "z"), (2, "w"), (0, " a > b")]
     assert Q.own_text(Q.lines(ROWS[3][3])) == "Good."
+    long = "On a day that is told at length " * 40 + "somebody wrote:"
+    assert Q.lines(long + "\n> x") == [(1, "x")] and Q.lines(long + "\nx") == [(0, long), (0, "x")]
+
+
+def test_first_messages_may_quote_other_conversations_and_circles_open(spark):
+    rows = [
+        (1, 7, "a", "A sentence of the older conversation."),
+        (2, 0, "b", "> A sentence of the older conversation.\nA new conversation about it."),
+        (3, 0, "c", "> The other one of these two.\nThe first one of these two."),
+        (4, 0, "d", "> The first one of these two.\nThe other one of these two."),
+    ]
+    got = [(r.thread_id, r.position, r.depth, r.conv_id) for r in Q.threads(spark.createDataFrame(rows, SCHEMA)).orderBy("thread_id", "position").collect()]
+    assert sorted(x[3] for x in got) == [1, 2, 3, 4]
+    assert {x[:3] for x in got if x[3] == 2} == {(1, 1, 1)} and [x[2:] for x in got if x[0] == 3] == [(0, 3), (1, 4)]
+
+
+def test_order_holds_every_message_once():
+    rng = random.Random(8)
+    for _ in range(300):
+        rows = sorted({(rng.randrange(3), rng.randrange(4)) for _ in range(rng.randint(1, 9))}, key=lambda r: (r[1], r[0]))
+        rows = [(c, t, *(rng.choice(rows) if rng.random() < 0.7 else (None, None))) for c, t in rows]
+        assert sorted(k for k, _ in Q.order(rows)) == list(range(len(rows)))
 
 
 def test_threads(spark):
@@ -37,10 +59,9 @@ def brute_parent(rows, k):
     c, t, _, text = rows[k]
     score = {}
     for d, u in {x for x in Q.units(Q.lines(text)) if x[0] > 0}:
-        own = [(rc, rt) for rc, rt, _, rx in rows if rt < t and (0, u) in Q.units(Q.lines(rx))]
-        here = {x for x in own if x[0] == c}
-        every = [(rt, rc) for rc, rt, _, rx in rows if (0, u) in Q.units(Q.lines(rx))]
-        far = {(min(every)[1], min(every)[0])} if every and min(every)[0] < t else set()
+        here = {(rc, rt) for rc, rt, _, rx in rows if rc == c and rt < t and (0, u) in Q.units(Q.lines(rx))}
+        every = [(rt, rc) for rc, rt, _, rx in rows if rc != c and (0, u) in Q.units(Q.lines(rx))]
+        far = {(min(every)[1], min(every)[0])} if every else set()
         for x in here or far:
             key = (d, x)
             score[key] = score.get(key, 0) + len(u)
