@@ -13,8 +13,11 @@ task that is run again leaves one whole file.
 
 Defined results: a null body is written as an empty one and flagged, and reads
 back as null; a null URI has no target header and reads back as null; a null id
-likewise; repeated rows become repeated records; an empty table gives files
-without pages; a record that is cut short, or whose framing is broken, raises; a
+likewise; a URI with line breaks or runs of white space has them as one space in
+its header and is also kept as it was in a header of its own; page ids are integers
+(or strings of digits), others raise; repeated rows become repeated records; an empty table gives files
+without pages; a record that is cut short, or whose framing is broken, raises, or with
+``tolerant`` ends its file with a record of type ``broken`` that names the fault; a
 wrong digest is reported in ``block_ok`` and ``payload_ok`` (null where the record
 names no digest that can be checked).
 """
@@ -56,7 +59,10 @@ def page_record(page_id: int | None, url: str | None, html: str | None) -> bytes
     body = (html or "").encode()
     head = [("WARC-Date", DATE), ("WARC-Record-ID", f"<urn:page:{'none' if page_id is None else page_id}>"), ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", digest(body))]
     if url is not None:
-        head.append(("WARC-Target-URI", " ".join(url.split())))
+        flat = " ".join(url.split())
+        head.append(("WARC-Target-URI", flat))
+        if flat != url:
+            head.append(("X-URI-Base64", base64.b64encode(url.encode()).decode()))
     if html is None:
         head.append(("X-Null-Payload", "1"))
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode()
@@ -220,7 +226,22 @@ def payload_of(r: Record) -> bytes:
     return r.block
 
 
-def read_files(files: DataFrame) -> DataFrame:
+def uri_of(headers: dict[str, str]) -> str | None:
+    if "x-uri-base64" in headers:
+        return base64.b64decode(headers["x-uri-base64"]).decode()
+    return headers.get("warc-target-uri")
+
+
+def _tolerant(raw, tolerant: bool) -> Iterator[Record]:
+    try:
+        yield from records(raw)
+    except (ValueError, KeyError, zlib.error) as e:
+        if not tolerant:
+            raise
+        yield Record("broken", {"warc-record-id": f"{type(e).__name__}: {e}"}, b"")
+
+
+def read_files(files: DataFrame, tolerant: bool = False) -> DataFrame:
     """All records of the files named by the column ``file``; one task a file at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,13 +261,13 @@ def read_files(files: DataFrame) -> DataFrame:
             for file in batch.column("file").to_pylist():
                 where, path = fs.FileSystem.from_uri(file)
                 with where.open_input_stream(path, compression=None) as raw:
-                    for k, r in enumerate(records(raw)):
+                    for k, r in enumerate(_tolerant(raw, tolerant)):
                         h = r.headers
                         body = payload_of(r)
                         ident = h.get("warc-record-id", "").strip("<>")
                         page = ident[9:] if ident.startswith("urn:page:") else ""
                         null = "x-null-payload" in h
-                        rows.append((file, k, r.kind, ident, h.get("warc-target-uri"), int(page) if page.lstrip("-").isdigit() else None, h.get("content-type"), len(r.block), verify(h.get("warc-block-digest"), r.block), verify(h.get("warc-payload-digest"), body), None if null else body))
+                        rows.append((file, k, r.kind, ident, uri_of(h), int(page) if page.lstrip("-").isdigit() else None, h.get("content-type"), len(r.block), verify(h.get("warc-block-digest"), r.block), verify(h.get("warc-payload-digest"), body), None if null else body))
                         size += len(body) + 200
                         if size >= BATCH_BYTES:
                             yield flush()
@@ -256,7 +277,7 @@ def read_files(files: DataFrame) -> DataFrame:
     return files.select("file").mapInArrow(run, SCHEMA)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
     """All records of the WARC files below ``path``.
 
     Spark lists the files (their contents are not loaded by the listing) and packs
@@ -265,7 +286,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{warc,warc.gz}").load(path)
     files = files.select(F.col("path").alias("file"))
     n = max(1, files.count())
-    return read_files(files.repartition(n))
+    return read_files(files.repartition(n), tolerant)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, **columns) -> DataFrame:

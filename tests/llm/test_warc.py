@@ -34,7 +34,7 @@ def test_broken_files_raise_and_wrong_digests_are_told():
 
 
 def test_round_trip_of_edge_rows(spark):
-    rows = [(1, "http://u/1", None), (None, None, "a\r\n\r\nb"), (2, "", ""), (2, "", ""), (3, "v", "é" * 400000)]
+    rows = [(1, "http://u/1", None), (None, None, "a\r\n\r\nb"), (2, "", ""), (2, "", ""), (3, "v", "é" * 400000), (4, "http://h/a b\n  c ", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as file")
     got = W.round_trip(spark, pages, file_records=2).collect()
     assert sorted(((r.page_id, r.url, r.html) for r in got), key=repr) == sorted(rows, key=repr)
@@ -43,3 +43,15 @@ def test_round_trip_of_edge_rows(spark):
 
 def test_empty_table(spark):
     assert W.round_trip(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_a_broken_file_may_be_tolerated(spark, tmp_path):
+    good = W.member(W.page_record(1, "u", "hello"))
+    (tmp_path / "a.warc.gz").write_bytes(good + W.member(W.page_record(2, "u", "cut"))[:-90])
+    (tmp_path / "b.warc.gz").write_bytes(good)
+    (tmp_path / "c.warc").write_bytes(b"WARC/1.1\r\nno length\r\n\r\n")
+    got = sorted((r.file[-9:], r.warc_type, r.page_id) for r in W.read(spark, str(tmp_path), tolerant=True).collect())
+    assert [x[1:] for x in got if x[0] == "a.warc.gz"] == [("broken", None), ("response", 1)]
+    assert [x[1:] for x in got if x[0] == "b.warc.gz"] == [("response", 1)] and len(got) == 4
+    with pytest.raises(Exception, match="ends inside|length"):
+        W.read(spark, str(tmp_path)).collect()
