@@ -1,7 +1,8 @@
 """Text functions: tokens, hashes, patterns and identifiers, as Column expressions.
 
-Everything is built in Catalyst expressions except :func:`tokens`, which needs
-Unicode normalisation that Spark has no function for and runs as an Arrow UDF.
+Everything is built in Catalyst expressions except :func:`tokens` and
+:func:`token_counts`, which need Unicode normalisation that Spark has no function
+for; they work on whole Arrow arrays.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ import re
 import unicodedata
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,19 +35,55 @@ def tokenise(text: str | None) -> list[str]:
     return [t for t in spaced.split() if len(t) <= MAX_TOKEN]
 
 
+_MARKED = "[\u03a3\u0130]"  # lower case of these depends on what is around them, or is two characters
+
+
+def token_array(texts: pa.Array) -> pa.Array:
+    """:func:`tokenise` of a whole Arrow array at once."""
+    texts = pc.utf8_normalize(texts.cast(pa.string()), form="NFKC")
+    odd = pc.fill_null(pc.match_substring_regex(texts, _MARKED), False)
+    if pc.any(odd).as_py():
+        texts = pc.if_else(odd, pa.array([t.lower() if o else None for t, o in zip(texts.to_pylist(), odd.to_pylist())], pa.string()), texts)
+    folded = pc.utf8_normalize(pc.utf8_lower(texts), form="NFD")
+    folded = pc.utf8_normalize(pc.replace_substring_regex(folded, r"\p{Mn}+", ""), form="NFC")
+    spaced = pc.utf8_trim(pc.replace_substring_regex(folded, r"[^\p{L}\p{N}]+", " "), " ")
+    words = pc.split_pattern(pc.fill_null(spaced, ""), " ")
+    values, ends = words.flatten(), words.value_lengths().to_numpy().cumsum()
+    size = pc.utf8_length(values).to_numpy()
+    keep = (size > 0) & (size <= MAX_TOKEN)
+    before = np.concatenate([[0], np.cumsum(keep)])
+    offsets = before[np.concatenate([[0], ends])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values.filter(pa.array(keep)))
+
+
+def token_counts_array(texts: pa.Array) -> pa.Array:
+    """For each text its different tokens with their numbers, in order of the tokens' first places."""
+    words = token_array(texts)
+    code = words.flatten().dictionary_encode()
+    names, index = code.dictionary, code.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(words)), words.value_lengths().to_numpy())
+    key, n = np.unique(row * max(1, len(names)) + index, return_counts=True)
+    offsets = np.searchsorted(key, np.arange(len(words) + 1) * max(1, len(names))).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([names.take(pa.array(key % max(1, len(names)))), pa.array(n.astype(np.int64))], ["token", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets), pairs)
+
+
 def tokens(col: Column) -> Column:
-    """``array<string>`` of search tokens, any script (Arrow UDF)."""
+    """``array<string>`` of search tokens, any script (Arrow function)."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return token_array(texts)
+
+    return F.arrow_udf(run, "array<string>")(col)
 
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(tokenise)
 
-    return F.pandas_udf(run, "array<string>")(col)
+def token_counts(col: Column) -> Column:
+    """``array<struct<token, n>>``: how often each search token occurs (Arrow function)."""
 
+    def run(texts: pa.Array) -> pa.Array:
+        return token_counts_array(texts)
 
-def ascii_tokens(col: Column) -> Column:
-    """The same for ASCII text, inside code generation."""
-    parts = F.split(F.lower(F.regexp_replace(F.coalesce(col, F.lit("")), "[^A-Za-z0-9]+", " ")), " ")
-    return F.filter(parts, lambda t: (F.length(t) > 0) & (F.length(t) <= MAX_TOKEN))
+    return F.arrow_udf(run, "array<struct<token:string,n:bigint>>")(col)
 
 
 def fnv1a32(word: str) -> int:

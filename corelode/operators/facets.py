@@ -93,24 +93,28 @@ class Tables:
 def index_counts(t: Tables, state: FilterState) -> DataFrame:
     """Counts of every dimension over the index, each without its own filter.
 
-    The rows that pass box and search are computed once; dimensions are predicates
-    on the masks.  With no source chosen, the tree dimensions count nothing.
+    One pass: the rows that pass box and search are counted by source, with a counter
+    for every node (at most 63 a dimension) of the rows that pass the other dimensions.
+    With no source chosen, the tree dimensions count nothing.
     """
     base = t.index
     if state.bbox is not None:
         near = t.samples.filter(state.bbox.where(F.col("latitude"), F.col("longitude"))).select(t.key)
         base = base.join(near, t.key, "left_semi")
     base = fl.in_search(base, state.search, t.key)
-    chosen = fl.node_masks({d: v for d, v in state.nodes.items() if v}, t.node_bits or {})
+    nodes = t.node_bits or {}
+    chosen = fl.node_masks({d: v for d, v in state.nodes.items() if v}, nodes)
     if chosen is None:
         raise ValueError("a chosen node has no bit")
     src = fl.source_where(state.sources, t.known_sources, F.col("source"))
-    out = base.filter(F.col("source").isNotNull() & fl.mask_where(chosen)).groupBy(F.col("source").alias("facet_value")).agg(F.count(F.lit(1)).alias("count"))
-    out = out.select(F.lit("source").alias("facet_type"), "facet_value", "count")
-    for d in t.dims:
-        rest = {k: v for k, v in chosen.items() if k != d}
-        out = out.unionByName(bit_counts(base.filter(src & fl.mask_where(rest)), t.bits, d))
-    return out
+    passes = {d: src & fl.mask_where({k: v for k, v in chosen.items() if k != d}) for d in t.dims}
+    listed = sorted((d, uri, bit) for (d, uri), bit in nodes.items() if d in passes)
+    counters = [F.count_if(passes[d] & (F.getbit(F.col(f"{d}_mask"), F.lit(bit)) == 1)).alias(f"n{k}") for k, (d, _, bit) in enumerate(listed)]
+    by = base.groupBy("source").agg(F.count_if(fl.mask_where(chosen)).alias("n"), *counters)
+    node = [F.struct(F.lit(d).alias("d"), F.lit(uri).alias("v"), F.col(f"n{k}").alias("n")) for k, (d, uri, _) in enumerate(listed)]
+    own = F.struct(F.lit("source").alias("d"), F.col("source").alias("v"), F.when(F.col("source").isNotNull(), F.col("n")).otherwise(F.lit(0)).alias("n"))
+    rows = by.select(F.explode(F.array(own, *node)).alias("z")).filter("z.n > 0")
+    return rows.groupBy(F.col("z.d").alias("facet_type"), F.col("z.v").alias("facet_value")).agg(F.sum("z.n").alias("count"))
 
 
 def slow_counts(t: Tables, state: FilterState) -> DataFrame:

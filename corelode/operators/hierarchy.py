@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import fingerprint as fp
-from ..lineage import local
+from ..lineage import local, written
 
 MAX_DEPTH = 64
 MAX_BITS = 63
@@ -31,8 +31,8 @@ def closure(tree: DataFrame, max_local: int = MAX_LOCAL_NODES) -> DataFrame:
     """(uri, ancestor_uri, distance): every node with all its ancestors, itself at 0.
 
     Vocabularies are small: up to ``max_local`` nodes are walked in place, which costs
-    one small job; a larger tree is closed by a recursive query.  The distance is
-    bounded, so a cycle ends; :func:`check_tree` tells cycles.
+    one small job; a larger tree is closed by pointer doubling with the same rows.
+    The distance is bounded, so a cycle ends; :func:`check_tree` tells cycles.
     """
     spark = tree.sparkSession
     rows = tree.select("uri", "parent_uri").limit(max_local + 1).collect()  # bounded
@@ -47,23 +47,24 @@ def closure(tree: DataFrame, max_local: int = MAX_LOCAL_NODES) -> DataFrame:
                 at, n = up.get(at), n + 1
         of = to_arrow_type(tree.schema["uri"].dataType)
         return local(spark, out, uri=of, ancestor_uri=of, distance=pa.int32())
-    return closure_by_query(tree)
+    return closure_by_doubling(tree)
 
 
-def closure_by_query(tree: DataFrame) -> DataFrame:
-    """The same by a recursive query, for trees of any size."""
-    spark = tree.sparkSession
-    tree.select("uri", "parent_uri").createOrReplaceTempView("corelode_tree")
-    return spark.sql(f"""
-        WITH RECURSIVE up(uri, ancestor_uri, distance) AS (
-            SELECT uri, uri, 0 FROM corelode_tree
-            UNION ALL
-            SELECT up.uri, t.parent_uri, up.distance + 1
-            FROM up JOIN corelode_tree t ON t.uri = up.ancestor_uri
-            WHERE t.parent_uri IS NOT NULL AND up.distance < {MAX_DEPTH}
-        )
-        SELECT uri, ancestor_uri, min(distance) AS distance FROM up GROUP BY uri, ancestor_uri
-    """)
+def closure_by_doubling(tree: DataFrame) -> DataFrame:
+    """The same for trees of any size, in a number of rounds that is the logarithm of the depth.
+
+    After a round every node has its ancestors below twice the distance, and a pointer
+    to the one at just that distance.
+    """
+    step = written(tree.filter("parent_uri is not null").select("uri", F.col("parent_uri").alias("to")), "tree-step")
+    known = written(tree.select("uri", F.col("uri").alias("ancestor_uri"), F.lit(0).alias("distance")), "tree-known")
+    reach = 1
+    while reach <= MAX_DEPTH and not step.isEmpty():
+        far = known.select(F.col("uri").alias("to"), "ancestor_uri", (F.col("distance") + reach).alias("distance"))
+        known = written(known.unionByName(step.join(far, "to").select("uri", "ancestor_uri", "distance").filter(F.col("distance") <= MAX_DEPTH)), "tree-known")
+        step = written(step.join(step.select(F.col("uri").alias("to"), F.col("to").alias("next")), "to").select("uri", F.col("next").alias("to")), "tree-step")
+        reach *= 2
+    return known.groupBy("uri", "ancestor_uri").agg(F.min("distance").alias("distance"))
 
 
 def depths(tree: DataFrame) -> DataFrame:

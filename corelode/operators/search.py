@@ -42,17 +42,17 @@ def fragments(samples: DataFrame, concept_links: DataFrame, concepts: DataFrame,
     return out.filter(tx.not_blank(F.col("text")))
 
 
-def postings(frags: DataFrame, tokenizer=tx.tokens) -> DataFrame:
-    """(token, pid, field, tf, doc_len): fragments are tokenised where they are and gathered by document.
+def postings(frags: DataFrame) -> DataFrame:
+    """(token, pid, field, tf, doc_len): tokens are counted where the fragments are.
 
-    Counting tokens needs no second shuffle: the documents are partitioned by their key
-    already when their words are exploded.  Both numbers are clamped to 16 bits (see
-    :func:`clamped`).
+    What is shuffled, once, is a row for each different token of a fragment, never a
+    text.  Both numbers are clamped to 16 bits (see :func:`clamped`).
     """
-    docs = frags.select("pid", "field", tokenizer(F.col("text")).alias("w")).groupBy("pid", "field").agg(F.flatten(F.collect_list("w")).alias("w"))
-    words = docs.select("pid", "field", F.least(F.size("w"), F.lit(CLAMP)).cast("int").alias("doc_len"), F.explode("w").alias("token"))
-    tf = words.groupBy("pid", "field", "doc_len", "token").agg(F.count(F.lit(1)).alias("n"))
-    return tf.select("token", "pid", "field", F.least("n", F.lit(CLAMP)).cast("int").alias("tf"), "doc_len")
+    counted = frags.select("pid", "field", F.explode(tx.token_counts(F.col("text"))).alias("t")).select("pid", "field", "t.token", "t.n")
+    tf = counted.repartition("pid", "field").groupBy("pid", "field", "token").agg(F.sum("n").alias("n"))
+    doc_len = F.sum("n").over(Window.partitionBy("pid", "field"))
+    short = lambda c: F.least(c, F.lit(CLAMP)).cast("int")
+    return tf.withColumn("doc_len", doc_len).select("token", "pid", "field", short(F.col("n")).alias("tf"), short(F.col("doc_len")).alias("doc_len"))
 
 
 def clamped(rows: DataFrame) -> DataFrame:
@@ -124,9 +124,9 @@ def write_index(stored: DataFrame, path: str, cap: int, shards: int = SHARDS) ->
 def hot_topk(stored: DataFrame, stats: DataFrame, hot: DataFrame, top: int = HOT_TOP) -> DataFrame:
     """(token, pid, static_score, rank): the best of each hot token, scores to 4 places."""
     rows = scored(stored.join(hot.select("token"), "token", "left_semi"), stats)
-    per = rows.groupBy("token", "pid").agg(F.sum("c").alias("s"))
-    w = Window.partitionBy("token").orderBy(F.desc("s"), F.asc("pid"))
-    return per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("token", "pid", F.round("s", 4).alias("static_score"), "rank")
+    per = rows.groupBy("token", "pid").agg(F.round(F.sum("c"), 4).alias("static_score"))
+    w = Window.partitionBy("token").orderBy(F.desc("static_score"), F.asc("pid"))
+    return per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("token", "pid", "static_score", "rank")
 
 
 def rank_topk(lists: DataFrame, tokens: Sequence[str], top: int = TOP) -> DataFrame:

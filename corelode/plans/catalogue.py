@@ -8,7 +8,6 @@ suppliers and documents stand in for the rest.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -19,7 +18,7 @@ from ..functions import arrays as ar
 from ..functions import fingerprint as fp
 from ..functions import geo
 from ..functions import text as tx
-from ..lineage import local
+from ..lineage import fresh, forget_at_exit, kept, local
 from ..operators import clusters, facets, graph, hierarchy, quality, search, setops, sync, views
 from ..operators import filters as fl
 from ..operators.filters import FilterState
@@ -170,19 +169,30 @@ def roots(spark):
 
 
 def asserted(spark, sf):
-    s = samples(spark, sf)
     q = F.concat(F.lit("q:"), F.year("o_orderdate").cast("string"), F.lit("-"), F.quarter("o_orderdate").cast("string"))
-    a = s.select("pid", F.lit("place").alias("facet_type"), F.concat(F.lit("n:"), "context").alias("uri"))
-    return a.unionByName(s.select("pid", F.lit("time").alias("facet_type"), q.alias("uri")))
+    both = F.array(F.struct(F.lit("place").alias("facet_type"), F.concat(F.lit("n:"), "context").alias("uri")), F.struct(F.lit("time").alias("facet_type"), q.alias("uri")))
+    return samples(spark, sf).select("pid", F.explode(both).alias("z")).select("pid", "z.facet_type", "z.uri")
 
 
-def member(spark, sf):
+def built_member(spark, sf):
     t = tree(spark, sf)
     closed = hierarchy.closure(t)
     depth = closed.groupBy("uri").agg(F.max("distance").cast("int").alias("depth"))
     return hierarchy.membership(asserted(spark, sf), closed, hierarchy.assign(closed, roots(spark)), roots(spark), depth)
 
 
+def _sources(sf, *names):
+    return [f"{sf}/{n}.parquet" for n in names]
+
+
+CATALOGUE = ("orders", "customer", "nation", "region")
+
+
+def member(spark, sf):
+    """The membership table, which is built once and read by what counts."""
+    return kept(spark, _sources(sf, *CATALOGUE), "member", lambda: built_member(spark, sf))
+
+
 def _bits(spark, sf):
     return hierarchy.node_bits(member(spark, sf))
 
@@ -193,8 +203,8 @@ def tree_closure(spark, sf):
 
 
 @query(f"{TREES} SELECT uri, ancestor_uri, min(distance) AS distance FROM closed GROUP BY uri, ancestor_uri")
-def tree_closure_recursive(spark, sf):
-    return hierarchy.closure_by_query(tree(spark, sf))
+def tree_closure_doubling(spark, sf):
+    return hierarchy.closure_by_doubling(tree(spark, sf))
 
 
 @query(f"{TREES} SELECT uri, parent_uri, CAST(max(distance) AS INTEGER) AS depth FROM closed JOIN tree USING (uri) GROUP BY uri, parent_uri")
@@ -209,7 +219,7 @@ def tree_assignment(spark, sf):
 
 @query(f"{FULL} SELECT pid, facet_type, concept_uri, depth FROM member")
 def tree_membership(spark, sf):
-    return member(spark, sf)
+    return built_member(spark, sf)
 
 
 @query(f"{FULL} SELECT m.facet_type, m.concept_uri, t.parent_uri, min(m.depth) AS depth, count(DISTINCT m.pid) AS count FROM member m JOIN tree t ON t.uri = m.concept_uri GROUP BY 1, 2, 3")
@@ -234,18 +244,18 @@ def node_bits(spark, sf):
 
 @query(f"{FULL} SELECT pid, place_mask, time_mask FROM masks")
 def facet_masks(spark, sf):
-    m = member(spark, sf).persist()
-    return hierarchy.masks(m, hierarchy.node_bits(m), DIMS)
+    return hierarchy.masks(member(spark, sf), _bits(spark, sf), DIMS)
 
 
-def index(spark, sf, m=None):
-    m = member(spark, sf).persist() if m is None else m
-    return hierarchy.index(samples(spark, sf), hierarchy.masks(m, hierarchy.node_bits(m), DIMS), DIMS)
+def index(spark, sf):
+    """The complete index, likewise."""
+    build = lambda: hierarchy.index(samples(spark, sf), hierarchy.masks(member(spark, sf), _bits(spark, sf), DIMS), DIMS)
+    return kept(spark, _sources(sf, *CATALOGUE), "facet-index", build)
 
 
 @query(f"{FULL} SELECT s.pid, s.source, coalesce(place_mask, 0) AS place_mask, coalesce(time_mask, 0) AS time_mask FROM samples s LEFT JOIN masks USING (pid)")
 def facet_index(spark, sf):
-    return index(spark, sf)
+    return hierarchy.index(samples(spark, sf), hierarchy.masks(member(spark, sf), _bits(spark, sf), DIMS), DIMS)
 
 
 @query(f"WITH {SAMPLES} SELECT source, count(*) AS count, (SELECT count(*) FROM samples) AS total_rows FROM samples WHERE trim(source) <> '' GROUP BY source")
@@ -264,18 +274,14 @@ def membership_division(spark, sf):
 
 @query(f"{FULL} SELECT pid FROM member WHERE {_DIV} GROUP BY pid HAVING count(DISTINCT facet_type) = 2")
 def mask_filter(spark, sf):
-    m = member(spark, sf).persist()
-    bits = hierarchy.node_bits(m)
-    numbers = {(r.facet_type, r.concept_uri): r.bit_index for r in bits.collect()}  # at most 63 rows a dimension
-    return hierarchy.masks(m, bits, DIMS).filter(fl.mask_where(fl.node_masks(CHOSEN, numbers) or {})).select("pid")
+    numbers = {(r.facet_type, r.concept_uri): r.bit_index for r in _bits(spark, sf).collect()}  # at most 63 rows a dimension
+    return index(spark, sf).filter(fl.mask_where(fl.node_masks(CHOSEN, numbers) or {})).select("pid")
 
 
 def _tables(spark, sf):
-    m = member(spark, sf).persist()
-    bits = hierarchy.node_bits(m)
+    m, s, bits = member(spark, sf), samples(spark, sf), _bits(spark, sf)
     numbers = {(r.facet_type, r.concept_uri): r.bit_index for r in bits.collect()}  # at most 63 rows a dimension
-    s = samples(spark, sf)
-    return facets.Tables(samples=s, membership=m, bits=bits, index=index(spark, sf, m), tree_cube=facets.tree_cross_filter(m, s, DIMS), known_sources=SEGMENTS, dims=DIMS, node_bits=numbers)
+    return facets.Tables(samples=s, membership=m, bits=bits, index=index(spark, sf), tree_cube=facets.tree_cross_filter(m, s, DIMS), known_sources=SEGMENTS, dims=DIMS, node_bits=numbers)
 
 
 TREE_STATE = FilterState(sources=frozenset({"BUILDING"}), nodes=CHOSEN, bbox=PLAIN)
@@ -672,8 +678,8 @@ def entity_histogram(spark, sf):
 
 # search:
 
-_WORDS = """words AS (SELECT CAST(doc_id AS VARCHAR) AS pid, 'sample.description' AS field, unnest(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')) AS token FROM documents
-  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'sample.label', unnest(string_split(trim(regexp_replace(lower(source), '[^a-z0-9]+', ' ', 'g')), ' ')) FROM documents),
+_TOKENS = "unnest(string_split(trim(regexp_replace(lower(strip_accents({0})), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '))"
+_WORDS = "words AS (SELECT CAST(doc_id AS VARCHAR) AS pid, 'sample.description' AS field, " + _TOKENS.format("text") + " AS token FROM documents UNION ALL SELECT CAST(doc_id AS VARCHAR), 'sample.label', " + _TOKENS.format("source") + """ FROM documents),
 tf AS (SELECT token, pid, field, count(*) AS tf FROM words WHERE length(token) BETWEEN 1 AND 64 GROUP BY 1, 2, 3),
 post AS (SELECT token, pid, field, CAST(least(tf, 65535) AS INTEGER) AS tf, CAST(least(sum(tf) OVER (PARTITION BY pid, field), 65535) AS INTEGER) AS doc_len FROM tf),
 dfs AS (SELECT token, count(*) AS df FROM post GROUP BY token),
@@ -688,60 +694,73 @@ def _fragments(spark, sf):
     return a.union(d.select(F.col("doc_id").cast("string"), F.lit("sample.label"), "source"))
 
 
-def _postings(spark, sf):
-    # DuckDB's lower() folds letters beyond ASCII, which the pattern then drops, as this does
-    return search.postings(_fragments(spark, sf).withColumn("text", F.lower("text")), tx.ascii_tokens)
+INDEX_CAP, INDEX_SHARDS = 200, 16
+
+
+def _stored(spark, sf):
+    """The index: postings with df in shards, hot tokens in parts; built once and read by the searches."""
+
+    def build():
+        rows = search.with_df(search.postings(_fragments(spark, sf)))
+        return search.laid_out(rows, search.hot_tokens(rows, INDEX_CAP), INDEX_SHARDS).repartition("shard", "part").sortWithinPartitions("shard", "part", "token", "pid", "field")
+
+    return kept(spark, _sources(sf, "documents"), "search-index", build, "shard", "part")
+
+
+def _stats(spark, sf):
+    return kept(spark, _sources(sf, "documents"), "search-stats", lambda: search.field_stats(_stored(spark, sf)))
 
 
 @query(f"WITH {_WORDS} SELECT token, pid, field, tf, doc_len FROM post")
 def postings(spark, sf):
-    return _postings(spark, sf)
+    return search.postings(_fragments(spark, sf))
 
 
 @query(f"WITH {_WORDS} SELECT token, df FROM dfs")
 def document_frequency(spark, sf):
-    return search.document_frequency(_postings(spark, sf))
+    return search.document_frequency(_stored(spark, sf))
 
 
 @query(f"WITH {_WORDS} SELECT field, docs, round(avg_len, 6) AS avg_len FROM stats")
 def field_stats(spark, sf):
-    return search.field_stats(_postings(spark, sf)).withColumn("avg_len", F.round("avg_len", 6))
+    return search.field_stats(_stored(spark, sf)).withColumn("avg_len", F.round("avg_len", 6))
 
 
 @query(f"WITH {_WORDS} SELECT pid, round(sum(c), 6) AS score FROM contrib WHERE token IN ('that', 'thing') GROUP BY pid HAVING count(DISTINCT token) = 2")
 def search_and(spark, sf):
-    p = _postings(spark, sf).persist()
-    rows, stats = search.with_df(p), search.field_stats(p)
-    return search.rank(search.scored(rows, stats, ["that", "thing"]), ["that", "thing"], None).withColumn("score", F.round("score", 6))
+    manifest = search.Manifest(INDEX_SHARDS)
+    return search.answer("that THING", _stored(spark, sf), _stats(spark, sf), manifest, top=None).withColumn("score", F.round("score", 6))
 
 
 @query(f"WITH {_WORDS} SELECT pid, round(s, 6) AS score FROM (SELECT pid, sum(c) AS s FROM contrib WHERE token IN ('with', 'src3') GROUP BY pid HAVING count(DISTINCT token) = 2 ORDER BY s DESC, pid LIMIT 50)".replace("'with'", "'thing'"))
 def bm25_top(spark, sf):
-    p = _postings(spark, sf).persist()
-    return search.answer("the thing src3", search.with_df(p), search.field_stats(p), search.Manifest()).withColumn("score", F.round("score", 6))
+    return search.answer("the thing src3", _stored(spark, sf), _stats(spark, sf), search.Manifest(INDEX_SHARDS)).withColumn("score", F.round("score", 6))
 
 
 @query(f"WITH {_WORDS}, hot AS (SELECT token, count(*) AS postings FROM post GROUP BY token HAVING count(*) > 200) SELECT token, postings, CAST(greatest(2, ceil(postings / 200.0)) AS INTEGER) AS parts FROM hot")
 def hot_tokens(spark, sf):
-    return search.hot_tokens(_postings(spark, sf), 200)
+    return search.hot_tokens(_stored(spark, sf), INDEX_CAP)
 
 
-@query(f"WITH {_WORDS}, hot AS (SELECT token FROM post GROUP BY token HAVING count(*) > 200), per AS (SELECT token, pid, sum(c) AS s FROM contrib JOIN hot USING (token) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY s DESC, pid) AS rank FROM per) SELECT token, CAST(count(*) AS BIGINT) AS n, CAST(max(rank) AS BIGINT) AS last_rank, round(max(s), 4) AS best FROM r WHERE rank <= 500 GROUP BY token")
+@query(f"WITH {_WORDS}, hot AS (SELECT token FROM post GROUP BY token HAVING count(*) > 200), per AS (SELECT token, pid, round(sum(c), 4) AS static_score FROM contrib JOIN hot USING (token) GROUP BY 1, 2) SELECT token, pid, static_score, row_number() OVER (PARTITION BY token ORDER BY static_score DESC, pid) AS rank FROM per QUALIFY rank <= 500")
 def hot_topk(spark, sf):
-    p = _postings(spark, sf).persist()
-    top = search.hot_topk(search.with_df(p), search.field_stats(p), search.hot_tokens(p, 200))
-    return top.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max("rank").cast("long").alias("last_rank"), F.max("static_score").alias("best"))
+    p = _stored(spark, sf)
+    return search.hot_topk(p, _stats(spark, sf), search.hot_tokens(p, INDEX_CAP)).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(f"WITH {_WORDS} SELECT count(DISTINCT (pid, field)) AS documents, count(DISTINCT pid) AS samples, count(DISTINCT token) AS tokens, count(*) AS postings FROM post")
 def index_stats(spark, sf):
-    return search.build_stats(_postings(spark, sf))
+    return search.build_stats(_stored(spark, sf))
+
+
+_HEX = "CAST(instr('0123456789ABCDEF', substr(hex(encode(token)), CAST({0} AS BIGINT), 1)) - 1 AS UBIGINT)"
+_FNV = "list_reduce(list_concat([CAST(2166136261 AS UBIGINT)], list_transform(range(CAST(octet_length(encode(token)) AS BIGINT)), lambda i: " + _HEX.format("2 * i + 1") + " * 16 + " + _HEX.format("2 * i + 2") + ")), lambda h, b: (xor(h, b) * 16777619) % 4294967296)"
 
 
-@query()
+@query(f"WITH {_WORDS} SELECT token, CAST({_FNV} AS BIGINT) AS hash, CAST({_FNV} % 256 AS INTEGER) AS shard FROM (SELECT DISTINCT token FROM post)")
 def token_shards(spark, sf):
-    """Unicode tokens of all documents and the shard of each (tested against the Python hash)."""
-    words = search.postings(_fragments(spark, sf)).select("token").distinct()
+    """The tokens of all documents and the shard of each."""
+    words = _stored(spark, sf).select("token").distinct()
     return words.select("token", tx.fnv1a32_col(F.col("token")).alias("hash"), tx.shard_of(F.col("token"), search.SHARDS).alias("shard"))
 
 
@@ -857,10 +876,10 @@ def union_by_name(spark, sf):
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def ordered_write(spark, sf):
     """Written in order with ZSTD, swapped in after a check, and read back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    path = f"{base.rstrip('/')}/corelode-ordered-write"
+    path = fresh(spark, "ordered-write")
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
     sinks.replace(c, path, "c_custkey")
+    forget_at_exit(spark, path)
     return tables.parquet(spark, path)
 
 

@@ -43,10 +43,28 @@ def replace(df: DataFrame, path: str, *order: str, check: Callable[[DataFrame],
         fs.delete(q, True)
         raise
     old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{uuid.uuid4().hex}.old")
-    had = fs.exists(p)
-    if had:
-        fs.rename(p, old)
-    fs.rename(q, p)
+    swap(fs, q, p, old)
+
+
+def swap(fs, new, target, old) -> None:
+    """Rename ``new`` to ``target``; what was there goes to ``old`` and is deleted last.
+
+    File systems report a failed rename by returning false, so every result is
+    checked; if the new table cannot take the place, the old one is put back.
+    """
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        fs.delete(new, True)
+        raise OSError(f"{target} could not be set aside")
+    try:
+        done = fs.rename(new, target)
+    except Exception:
+        done = False
+    if not done:
+        if had and not fs.rename(old, target):
+            raise OSError(f"{target} is at {old}: neither the new table nor the old one could be moved there")
+        fs.delete(new, True)
+        raise OSError(f"the new table could not be moved to {target}")
     if had:
         fs.delete(old, True)
 

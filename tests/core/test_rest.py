@@ -214,3 +214,68 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0
+
+
+VOCABULARY = """
+@prefix skos: <http://www.w3.org/2004/02/skos/core#> .
+@prefix rdfs: <http://www.w3.org/2000/01/rdf-schema#> .
+@prefix m: <http://v/m/> .
+m:any a skos:Concept ; skos:prefLabel "Anything" ; skos:definition "Alles"@de, "Everything"@en .
+m:rock a skos:Concept ; skos:prefLabel "Rock"@en, "Gestein"@de ; skos:broader m:any .
+m:ore a skos:Concept ; rdfs:label "Ore" ; skos:broader m:rock, <http://other/x> .
+m:dust a skos:Concept ; skos:broader <http://other/x> .
+"""
+SECOND = """
+@prefix skos: <http://www.w3.org/2004/02/skos/core#> .
+<http://v/m/rock> a skos:Concept ; skos:prefLabel "Stone"@en ; skos:altLabel "Pebble" .
+"""
+
+
+def test_each_form_of_a_vocabulary_is_a_tree(spark):
+    t = vo.read(spark, {"a": SECOND, "b": VOCABULARY}, roots=[("http://v/m/", "1.0", False)], hints=[("/m/", "b")])
+    rows = {(r.uri, r.lang): r for r in t.collect()}
+    rock = rows["http://v/m/1.0/rock", "en"]
+    assert (rock.broader, rock.uri_form, rock.alt_labels) == ("http://v/m/1.0/any", "data_v1", ["Stone"])
+    assert rows["http://v/m/rock", "en"].broader == "http://v/m/any" and rows["http://v/m/1.0/rock", "de"].pref_label == "Gestein"
+    ore = rows["http://v/m/1.0/ore", "en"]
+    assert (ore.pref_label, ore.broader, ore.broader_count) == ("Ore", "http://other/x", 2)
+    assert rows["http://v/m/any", "en"].definition == "Everything" and rows["http://v/m/dust", None].pref_label is None
+    have = {r.uri for r in rows.values() if r.uri_form == "data_v1"}
+    assert all(r.broader in have | {None, "http://other/x"} for r in rows.values() if r.uri_form == "data_v1")
+
+
+class Disk:
+    """A file system of names, whose renames onto ``bad`` names return false."""
+
+    def __init__(self, names, bad=()):
+        self.names, self.bad = dict(names), list(bad)
+
+    def exists(self, p):
+        return p in self.names
+
+    def rename(self, a, b):
+        if a not in self.names or b in self.names or (a, b) in self.bad:
+            return False
+        self.names[b] = self.names.pop(a)
+        return True
+
+    def delete(self, p, _):
+        return self.names.pop(p, None) is not None
+
+
+def test_a_failed_rename_keeps_the_old_table():
+    good = Disk({"t": 1, "new": 2})
+    sinks.swap(good, "new", "t", "old")
+    assert good.names == {"t": 2}
+    for bad in ([("t", "old")], [("new", "t")]):
+        disk = Disk({"t": 1, "new": 2}, bad)
+        with pytest.raises(OSError):
+            sinks.swap(disk, "new", "t", "old")
+        assert disk.names == {"t": 1}
+    stuck = Disk({"t": 1, "new": 2}, [("new", "t"), ("old", "t")])
+    with pytest.raises(OSError, match="is at old"):
+        sinks.swap(stuck, "new", "t", "old")
+    assert stuck.names == {"old": 1, "new": 2}
+    fresh = Disk({"new": 2})
+    sinks.swap(fresh, "new", "t", "old")
+    assert fresh.names == {"t": 2}

@@ -1,3 +1,6 @@
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -21,10 +24,17 @@ def test_collision_pair():
     assert tx.fnv1a32("tywtopf1ri") == tx.fnv1a32("32jnqttihd")
 
 
-def test_native_and_arrow_tokens_agree_on_ascii(spark):
-    rows = [("Hello, World-2x",), ("",), (None,), ("  a  b ",)]
-    got = spark.createDataFrame(rows, "t string").select(tx.tokens(F.col("t")).alias("a"), tx.ascii_tokens(F.col("t")).alias("b")).collect()
-    assert all(r.a == r.b for r in got)
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from("aZ9 -_\n.éÉçßœŒﬁ№İıΣσςáΆ日本ー\u0301\u0308\u200b²½ﾊﾟ𝔸א\u05b0ก็"), max_size=30), st.text(alphabet="ab ", min_size=60, max_size=140)), max_size=6))
+def test_whole_arrays_give_the_tokens_of_single_texts(texts):
+    assert tx.token_array(pa.array(texts, pa.string())).to_pylist() == [tx.tokenise(t) for t in texts]
+    counts = tx.token_counts_array(pa.array(texts, pa.string())).to_pylist()
+    assert [{x["token"]: x["n"] for x in c} for c in counts] == [dict(Counter(tx.tokenise(t))) for t in texts]
+
+
+def test_tokens_of_all_documents(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text", tx.tokens(F.col("text")).alias("w"))
+    assert all(r.w == tx.tokenise(r.text) for r in d.collect())
 
 
 def test_patterns_take_wildcards_literally(spark):
