@@ -168,9 +168,15 @@ def hash_sample(df: DataFrame, key: str, modulus: int, limit: int | None = None)
     return out if limit is None else out.orderBy(key).limit(limit)
 
 
-def bernoulli_sample(df: DataFrame, share: float, seed: int, limit: int | None = None) -> DataFrame:
+def bernoulli_sample(df: DataFrame, share: float, seed: int, limit: int | None = None, key: str = "pid") -> DataFrame:
+    """Each row with the same chance; a limit takes the first by key."""
     out = df.sample(False, share, seed)
-    return out if limit is None else out.limit(limit)
+    return out if limit is None else out.orderBy(key).limit(limit)
+
+
+def confident(df: DataFrame, confidence: str, least: float) -> DataFrame:
+    """Rows whose classification is at least as sure; one without a confidence is not."""
+    return df.filter(F.col(confidence) >= least)
 
 
 def in_cells(df: DataFrame, cells: DataFrame, cell: str) -> DataFrame:

@@ -326,9 +326,12 @@ def filter_state(spark, sf):
     return fl.apply(samples(spark, sf), STATE, SEGMENTS).select("pid", "source")
 
 
-@query(f"WITH {SAMPLES} SELECT pid, 3 * CAST(material = '1-URGENT' AS INTEGER) + CASE WHEN material <> '1-URGENT' THEN 0 ELSE 0 END AS relevance_score FROM samples WHERE material = '1-URGENT'")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 3 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS relevance_score FROM orders WHERE o_orderstatus = 'F' AND (o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 5 = 0)")
 def described_by(spark, sf):
-    return fl.described_by(samples(spark, sf), "1-URGENT").select("pid", "relevance_score")
+    """The rank of a concept by the column that holds it."""
+    held = lambda m: F.when(F.col("o_orderkey") % m == 0, F.col("o_orderstatus"))
+    o = _t(spark, sf, "orders").select("o_orderkey", held(2).alias("material"), held(3).alias("object_type"), held(5).alias("context"))
+    return fl.described_by(o, "F").select("o_orderkey", "relevance_score")
 
 
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31'")
@@ -829,17 +832,23 @@ def overlay_column(spark, sf):
     return sync.overlay_column(_t(spark, sf, "customer").select("c_custkey", "c_name"), lookup, "c_custkey", "c_name")
 
 
-@query(f"WITH {SAMPLES} SELECT count(*) AS n FROM (SELECT s.pid FROM samples s WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))")
+@query(f"SELECT o_orderkey + {S0} AS s FROM orders WHERE o_custkey % 10 = 3")
 def dangling_references(spark, sf):
-    return sync.dangling(wide(spark, sf)).filter("p = 'produced_by'").agg(F.count(F.lit(1)).alias("n"))
+    """Samples whose event was taken out."""
+    w = wide(spark, sf).filter(f"otype <> 'SamplingEvent' or row_id % 10 <> {(E0 + 3) % 10}")
+    return sync.dangling(w).filter("p = 'produced_by'").select("s")
 
 
-@query("SELECT n = m AS same FROM (SELECT count(*) AS n FROM orders), (SELECT count(*) AS m FROM orders)")
+_ROW = "CAST(concat('0x', substr(md5(concat(chr(1), CAST(o_orderkey AS VARCHAR), chr(31), chr(1), o_orderstatus)), 1, 15)) AS BIGINT)"
+
+
+@query(f"SELECT lower(hex(bit_xor(h))) AS xor_id, concat(lower(hex(bit_xor(h))), '-', CAST(sum(h) AS VARCHAR), '-', CAST(count(*) AS VARCHAR)) AS full_id, CAST(true AS BOOLEAN) AS same FROM (SELECT {_ROW} AS h FROM orders)")
 def fingerprint_is_stable(spark, sf):
-    """A fingerprint does not depend on the order of the rows, and changes with a row."""
+    """Fingerprints, and whether they are the same for another order of the rows."""
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    a, b = fp.full_id(o, o.columns), fp.full_id(o.repartition(7, "o_orderstatus"), o.columns).select(F.col("build_id").alias("other"))
-    return a.crossJoin(b).select((F.col("build_id") == F.col("other")).alias("same"))
+    x = fp.xor_id(o, o.columns).withColumnRenamed("build_id", "xor_id")
+    a, b = fp.full_id(o, o.columns).withColumnRenamed("build_id", "full_id"), fp.full_id(o.repartition(7, "o_orderstatus"), o.columns)
+    return x.crossJoin(a).crossJoin(b).select("xor_id", "full_id", (F.col("full_id") == F.col("build_id")).alias("same"))
 
 
 # sources and sinks:

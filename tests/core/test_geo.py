@@ -62,3 +62,11 @@ def test_heatmap_counts_every_sample(spark):
         got = clusters.heatmap(df, box, 64)
         assert got.agg(F.sum("n")).first()[0] == inside
         assert got.filter("x < 0 or x > 63 or y < 0 or y > 63").count() == 0
+
+
+def test_points_of_arrays_are_those_of_single_values():
+    good = [geo.encode_point(1.5, -2.0), geo.encode_point(float("nan"), 1.0), struct.pack(">BIdd", 0, 1, 3.0, 4.0), struct.pack("<BIIdd", 1, 0x20000001, 4326, 5.0, 6.0), struct.pack("<BIdd", 1, 2, 3.0, 4.0), b"", b"x" * 21, None]
+    for blobs in (good, good[:1], [], [None]):
+        got = geo.point_array(pa.array(blobs, pa.binary())).to_pylist()
+        want = [geo.decode_point(b) for b in blobs]
+        assert [(r["x"], r["y"]) for r in got] == [w or (None, None) for w in want]
