@@ -7,13 +7,16 @@ reads the row groups of its tokens in its shards only.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..lineage import hadoop_path, local, written
 
 K1, B = 1.2, 0.75
 WEIGHTS = {"sample.label": 3.0, "concept.label": 2.5, "sample.place_name": 2.0, "sample.description": 1.0}
@@ -21,6 +24,9 @@ CLAMP = 65535
 SHARDS = 256
 TOP = 50
 HOT_TOP = 500
+CAP_BYTES = 5 << 20
+COMPRESSION = 0.7  # first guess of a file's bytes by those of its values
+ATTEMPTS = 12
 STOPWORDS = frozenset("a an and at for from in is of on or the to was with".split())
 MIN_QUERY = 2
 
@@ -113,12 +119,116 @@ def laid_out(stored: DataFrame, hot: DataFrame, shards: int = SHARDS) -> DataFra
     return out.withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int")).otherwise(F.lit(-1))).drop("parts")
 
 
-def write_index(stored: DataFrame, path: str, cap: int, shards: int = SHARDS) -> DataFrame:
-    """Write shards (and parts of hot tokens) sorted by token; returns the hot tokens."""
-    hot = hot_tokens(stored, cap)
-    rows = laid_out(stored, hot, shards)
-    rows.repartition("shard", "part").sortWithinPartitions("shard", "part", "token", "pid", "field").write.partitionBy("shard", "part").mode("overwrite").option("compression", "zstd").parquet(path)
-    return hot
+@dataclass
+class _Hot:
+    """A token with files of its own: their folder, how many they are, its postings, whether they are written."""
+
+    key: str
+    parts: int
+    postings: int
+    done: bool = False
+
+
+def hot_key(token: str, used: set[str]) -> str:
+    """The hash of a token in hex, with a suffix where another token has the same."""
+    base = key = f"{tx.fnv1a32(token):08x}"
+    n = 0
+    while key in used:
+        n += 1
+        key = f"{base}-{n}"
+    used.add(key)
+    return key
+
+
+def write_index(stored: DataFrame, path: str, cap_bytes: int = CAP_BYTES, shards: int = SHARDS) -> Manifest:
+    """Write the index below ``path`` so that no file is larger than ``cap_bytes``; its manifest beside it.
+
+    Tokens whose postings are estimated to exceed the cap get files of their own, split
+    by pid.  Files are measured after writing: a token's files are split twice as finely,
+    and the heaviest token of a shard is moved out of it, until all fit.  What still does
+    not fit after ``ATTEMPTS`` is named in the manifest.  The driver handles one entry a
+    shard and a hot token.
+    """
+    spark = stored.sparkSession
+    rows = written(stored.withColumn("shard", tx.shard_of(F.col("token"), shards)), "index-rows")
+    counts = written(rows.groupBy("shard", "token").agg(F.count(F.lit(1)).alias("n")), "index-counts")
+    width = rows.agg(F.avg(F.length("token") + F.length("pid") + F.length("field") + 4)).first()[0] or 30.0
+    guess = width * COMPRESSION
+    hot: dict[str, _Hot] = {}
+    used: set[str] = set()
+
+    def promote(token: str, n: int) -> None:
+        hot[token] = _Hot(hot_key(token, used), max(2, -(-int(n * guess) // cap_bytes)), n)
+
+    for r in counts.filter(F.col("n") * guess > cap_bytes).orderBy("token").collect():  # hot tokens
+        promote(r.token, r.n)
+    dirty = set(range(shards))
+    too_large: list[str] = []
+    for attempt in range(ATTEMPTS + 1):
+        _write_shards(rows, path, dirty, hot)
+        _write_hot(rows, path, {t: h for t, h in hot.items() if not h.done})
+        sizes = {s: _bytes(spark, f"{path}/shards/shard={s}") for s in dirty}
+        over = sorted(s for s, n in sizes.items() if n > cap_bytes)
+        wide = [t for t, h in hot.items() if not h.done and max(_bytes(spark, f"{path}/hot/key={h.key}/part={m}") for m in range(h.parts)) > cap_bytes]
+        for h in hot.values():
+            h.done = True
+        if not over and not wide:
+            break
+        if attempt == ATTEMPTS:
+            too_large = [f"shard {s}" for s in over] + [f"hot {hot[t].key}" for t in wide]
+            break
+        for t in wide:
+            hot[t].parts, hot[t].done = 2 * hot[t].parts, False
+        left = counts.filter(F.col("shard").isin(over) & ~F.col("token").isin(list(hot))) if hot else counts.filter(F.col("shard").isin(over))
+        heavy = left.groupBy("shard").agg(F.max_by(F.struct("token", "n"), F.struct("n", "token")).alias("t")).select("t.token", "t.n").collect()  # one a shard
+        for r in heavy:
+            promote(r.token, r.n)
+        dirty = set(over)
+    total = {t: sum(_bytes(spark, f"{path}/hot/key={h.key}/part={m}") for m in range(h.parts)) for t, h in hot.items()}
+    manifest = Manifest(shards, {t: (h.key, h.parts, total[t], total[t] <= cap_bytes) for t, h in hot.items()}, {f"shard_{s:03d}.parquet": _bytes(spark, f"{path}/shards/shard={s}") for s in range(shards)}, {t: h.postings for t, h in hot.items()}, tuple(too_large))
+    spark.createDataFrame([(manifest.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+    return manifest
+
+
+def _bytes(spark, where: str) -> int:
+    at, p = hadoop_path(spark, where)
+    return at.getContentSummary(p).getLength() if at.exists(p) else 0
+
+
+def _write_shards(rows: DataFrame, path: str, which: set[int], hot: Mapping[str, _Hot]) -> None:
+    if not which:
+        return
+    mine = rows.filter(F.col("shard").isin(sorted(which)))
+    if hot:
+        mine = mine.filter(~F.col("token").isin(list(hot)))
+    _replace(mine, path + "/shards", [f"shard={s}" for s in which], "shard")
+
+
+def _write_hot(rows: DataFrame, path: str, which: Mapping[str, _Hot]) -> None:
+    if not which:
+        return
+    names = local(rows.sparkSession, [(t, h.key, h.parts) for t, h in which.items()], token=pa.string(), key=pa.string(), parts=pa.int32())
+    mine = rows.drop("shard").join(F.broadcast(names), "token").withColumn("part", F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int")).drop("parts")  # one row a hot token
+    _replace(mine, path + "/hot", [f"key={h.key}" for h in which.values()], "key", "part")
+
+
+def _replace(rows: DataFrame, path: str, folders: Sequence[str], *by: str) -> None:
+    """Rows in place of what the folders held, a sorted file for each."""
+    for f in folders:
+        at, p = hadoop_path(rows.sparkSession, f"{path}/{f}")
+        at.delete(p, True)
+    rows.repartition(*by).sortWithinPartitions(*by, "token", "pid", "field").write.mode("append").partitionBy(*by).option("compression", "zstd").parquet(path)
+
+
+def open_index(spark, path: str) -> tuple[DataFrame, Manifest]:
+    """(postings, manifest) of a written index; filters on ``shard`` and ``key`` prune its files."""
+    manifest = Manifest.from_json(spark.read.text(f"{path}/manifest").first()[0])
+    columns = "token string, pid string, field string, tf int, doc_len int, df long"
+    rows = spark.read.schema(columns + ", shard int").parquet(f"{path}/shards").withColumn("key", F.lit(None).cast("string"))
+    if manifest.hot:
+        own = spark.read.schema(columns + ", key string, part int").parquet(f"{path}/hot").drop("part").withColumn("shard", F.lit(-1))
+        rows = rows.unionByName(own)
+    return rows, manifest
 
 
 def hot_topk(stored: DataFrame, stats: DataFrame, hot: DataFrame, top: int = HOT_TOP) -> DataFrame:
@@ -148,11 +258,23 @@ class Plan:
 
 @dataclass(frozen=True)
 class Manifest:
-    """``hot``: token to (key, parts, total bytes, fetchable)."""
+    """``hot``: token to (key, parts, total bytes, fetchable); ``sizes``: bytes of the shards' files."""
 
     shards: int = SHARDS
     hot: Mapping[str, tuple[str, int, int, bool]] = field(default_factory=dict)
     sizes: Mapping[str, int] | None = None
+    postings: Mapping[str, int] = field(default_factory=dict)
+    too_large: tuple[str, ...] = ()
+
+    def to_json(self) -> str:
+        hot = {t: {"key": k, "sub_files": n, "postings": self.postings.get(t), "total_bytes": b, "fetchable": f} for t, (k, n, b, f) in sorted(self.hot.items())}
+        return json.dumps({"shards": self.shards, "hot": hot, "sizes": self.sizes, "too_large": list(self.too_large)}, ensure_ascii=True)
+
+    @classmethod
+    def from_json(cls, text: str) -> Manifest:
+        x = json.loads(text)
+        hot = {t: (h["key"], h["sub_files"], h["total_bytes"], h["fetchable"]) for t, h in x["hot"].items()}
+        return cls(x["shards"], hot, x["sizes"], {t: h["postings"] for t, h in x["hot"].items()}, tuple(x["too_large"]))
 
 
 def plan(query: str, manifest: Manifest) -> Plan:
@@ -194,7 +316,11 @@ def answer(query: str, stored: DataFrame, stats: DataFrame, manifest: Manifest,
         return stored.select("pid", F.lit(0.0).alias("score")).limit(0)
     if p.mode == "topk" and lists is not None:
         return rank_topk(lists, p.tokens, top or TOP)
-    rows = stored.filter(F.col("shard").isin(list(p.shards))) if "shard" in stored.columns and p.shards else stored
+    rows = stored
+    if "shard" in stored.columns and p.shards:
+        where = F.col("shard").isin(list(p.shards))
+        keys = [manifest.hot[t][0] for t in p.tokens if t in manifest.hot]
+        rows = stored.filter(where | F.col("key").isin(keys)) if keys and "key" in stored.columns else stored.filter(where)
     return rank(scored(rows, stats, p.tokens), p.tokens, top)
 
 

@@ -1,6 +1,7 @@
 """The index on ten documents counted by hand, planning, and the agreement of both search paths."""
 
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,18 +57,41 @@ def test_bm25_by_hand(spark, stored):
     assert se.answer("the of", stored, stats, se.Manifest()).count() == 0
 
 
-def test_index_on_disk_prunes_and_splits(spark, stored, tmp_path):
-    hot = se.write_index(stored, str(tmp_path / "index"), cap=2, shards=8)
-    assert {r.token: r.parts for r in hot.collect()} == {"pottery": 2}
-    disk = spark.read.parquet(str(tmp_path / "index"))
-    assert disk.count() == stored.count()
-    assert disk.filter("token = 'pottery'").select("part").distinct().count() <= 2 and disk.filter("token <> 'pottery' and part <> -1").count() == 0
-    bad = disk.select("token", "shard").distinct().collect()
-    assert all(tx.fnv1a32(r.token) % 8 == r.shard for r in bad)
-    m = se.Manifest(shards=8)
+def _files(folder):
+    return [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+
+
+def test_index_on_disk_keeps_to_its_cap(spark, tmp_path):
+    """Heavy tokens leave their shards until every file fits; nothing is lost or doubled; searches read the same."""
+    rows = [(f"w{k % 7}" if k % 3 else f"rare{k}", f"p{k // 4}", "sample.label", 1, 4, 1) for k in range(6000)]
+    stored = se.with_df(spark.createDataFrame(rows, "token string, pid string, field string, tf int, doc_len int, df long").drop("df").dropDuplicates(["token", "pid", "field"])).cache()
+    path = str(tmp_path / "index")
+    m = se.write_index(stored, path, cap_bytes=9000, shards=4)
+    assert not m.too_large and m.hot and max(map(os.path.getsize, _files(path))) <= 9000
+    disk, again = se.open_index(spark, path)
+    assert again == m and disk.count() == stored.count()
+    assert disk.select("token", "pid", "field").exceptAll(stored.select("token", "pid", "field")).count() == 0
+    for t, (key, parts, size, fetchable) in m.hot.items():
+        mine = [f for f in _files(f"{path}/hot/key={key}")]
+        assert parts >= 2 and len(mine) <= parts and sum(map(os.path.getsize, mine)) == size and fetchable == (size <= 9000)
+        assert m.postings[t] == stored.filter(F.col("token") == t).count() and disk.filter((F.col("token") == t) & F.col("key").isNull()).count() == 0
     stats = se.field_stats(stored)
-    plain = {r.pid: r.score for r in se.answer("pottery", stored, stats, m).collect()}
-    assert {r.pid: r.score for r in se.answer("pottery", disk, stats, m).collect()} == pytest.approx(plain)
+    for q in ("rare3", "w1 rare27", next(iter(m.hot))):
+        known = se.Manifest(4, {t: (k, p, b, True) for t, (k, p, b, _) in m.hot.items()})
+        want = {r.pid: r.score for r in se.answer(q, stored, stats, se.Manifest(4), top=None).collect()}
+        assert {r.pid: r.score for r in se.answer(q, disk, stats, known, top=None).collect()} == pytest.approx(want)
+
+
+def test_a_cap_that_cannot_be_kept_is_told(spark, stored, tmp_path, monkeypatch):
+    monkeypatch.setattr(se, "ATTEMPTS", 1)
+    m = se.write_index(stored, str(tmp_path / "index"), cap_bytes=1, shards=2)
+    disk, again = se.open_index(spark, str(tmp_path / "index"))
+    assert m.too_large and again == m and disk.count() == stored.count() and all(p >= 2 for _, p, _, _ in m.hot.values())
+
+
+def test_keys_of_equal_hashes_differ():
+    used = set()
+    assert [se.hot_key(t, used) for t in ("tywtopf1ri", "32jnqttihd", "a")] == ["a7c9bf62", "a7c9bf62-1", f"{3826002220:08x}"]
 
 
 def test_topk_lists(stored):
