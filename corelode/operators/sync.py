@@ -140,19 +140,25 @@ def orphans(wide: DataFrame, removed: DataFrame, kept_types: Sequence[str] = (SA
     set grows until it is stable.  Samples and concepts are never dragged along.
     """
     e = checkpointed(graph.wide_edges(wide).select("s", "o").distinct())
-    types = wide.select(F.col("row_id").cast("long").alias("row_id"), "otype")
-    gone = graph.of_type(wide, SAMPLE).join(removed, "pid", "left_semi").select(F.col("row_id").cast("long").alias("row_id"))
-    gone = checkpointed(gone)
-    size = gone.count()
+    may_go = wide.filter(~F.col("otype").isin(list(kept_types))).select(F.col("row_id").cast("long").alias("o"))
+    front = checkpointed(graph.of_type(wide, SAMPLE).join(removed, "pid", "left_semi").select(F.col("row_id").cast("long").alias("row_id")))
+    gone = front
+    # how many rows hold on to each row that may be dragged along
+    held = None
     for _ in range(MAX_PASSES):
-        touched = e.join(gone.withColumnRenamed("row_id", "s"), "s", "left_semi").select(F.col("o").alias("row_id")).distinct()
-        touched = touched.join(gone, "row_id", "left_anti").join(types.filter(~F.col("otype").isin(list(kept_types))), "row_id", "left_semi")
-        held = e.join(gone.withColumnRenamed("row_id", "s"), "s", "left_anti").select(F.col("o").alias("row_id"))
-        gone = checkpointed(gone.union(touched.join(held, "row_id", "left_anti")))
-        now = gone.count()
-        if now == size:
+        lost = e.join(front.withColumnRenamed("row_id", "s"), "s", "left_semi").groupBy("o").agg(F.count(F.lit(1)).alias("lost"))
+        lost = checkpointed(lost.join(may_go, "o", "left_semi"))
+        if lost.isEmpty():
             return gone
-        size = now
+        # only rows that lose a holder are counted, once each
+        fresh = lost if held is None else lost.join(held, "o", "left_anti")
+        n = e.join(fresh.select("o"), "o", "left_semi").groupBy("o").agg(F.count(F.lit(1)).alias("left"))
+        held = n if held is None else held.unionByName(n)
+        held = checkpointed(held.join(lost, "o", "left").select("o", (F.col("left") - F.coalesce("lost", F.lit(0))).alias("left")))
+        front = checkpointed(held.filter("left = 0").select(F.col("o").alias("row_id")).join(gone, "row_id", "left_anti"))
+        if front.isEmpty():
+            return gone
+        gone = checkpointed(gone.unionByName(front))
     raise SyncError("the removal did not settle")
 
 
