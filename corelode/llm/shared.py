@@ -1,11 +1,8 @@
-"""Where intermediate tables live, how lineage is cut, and tables looked up by part.
+"""Tables looked up by part.
 
 Executors may be lost at any time, so nothing here relies on blocks held by an
-executor: an intermediate result that is read more than once is written as
-Parquet to the shared folder the cluster names in ``spark.checkpoint.dir``.
-Only where that setting is absent in a local session, as in tests, does a folder
-of this process stand in for it; a cluster without it is an error.  What was
-written is deleted when the driver's JVM ends.
+executor: an intermediate result that is read more than once is written to the
+shared folder (:mod:`corelode.lineage`).
 
 Texts are larger than anything that is found out about them, so they are not
 shuffled to meet it.  :func:`parted` writes a table once, in parts; what a part
@@ -16,75 +13,29 @@ through the driver or held whole by a task, whatever its size.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import fresh, store, written
+
+__all__ = ["Side", "fresh", "parted", "parts", "written"]
+
 ROW = "_row"
 PARTS_OF_SIDE = 4  # tasks that share one slice of a side table
 _SHIFT = 33 + (PARTS_OF_SIDE - 1).bit_length()  # the upper bits of a row number are those of its task
 
-_local: list[str] = []
-
-
-def _path(spark: SparkSession, where: str):
-    """(file system, path) of Hadoop."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(where)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The URI of the folder all executors share; a local stand-in only where a local session names none."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        at, path = _path(spark, where.rstrip("/"))
-        uri = at.makeQualified(path).toString()
-        return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local:
-        path = tempfile.mkdtemp(prefix="corelode-")
-        atexit.register(shutil.rmtree, path, True)
-        _local.append("file://" + path)
-    return _local[0]
-
-
-def fresh(spark: SparkSession, tag: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-
-
-def _write(df: DataFrame, tag: str, *by: str) -> str:
-    path = fresh(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path, partitionBy=list(by) or None)
-    at, p = _path(df.sparkSession, path)
-    at.deleteOnExit(p)
-    return path
-
-
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later plans start at the files."""
-    return df.sparkSession.read.schema(df.schema).parquet(_write(df, tag))
-
 
 def parted(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written down in parts: ``_row`` numbers the rows, and its upper bits are the part."""
     return written(df.withColumn(ROW, F.monotonically_increasing_id()), tag)
 
 
-def part_of(row: Column) -> Column:
-    return F.shiftright(row, _SHIFT)
-
-
 def parts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     """(part, rows of the batch) for each part in it."""
     part = batch.column(ROW).to_numpy() >> _SHIFT
@@ -99,7 +50,7 @@ class Side:
         """``rows`` have a column ``part``; a slice is sorted by ``order`` where that is given."""
         if order:
             rows = rows.repartition("part").sortWithinPartitions("part", *order)
-        self.path = _write(rows, tag, "part")
+        self.path = store(rows, tag, "part")
         self._last: tuple[int, object] | None = None
 
     def of(self, part: int, make):
