@@ -38,16 +38,39 @@ def tokenise(text: str | None) -> list[str]:
 _MARKED = "[\u03a3\u0130]"  # lower case of these depends on what is around them, or is two characters
 
 
-def token_array(texts: pa.Array) -> pa.Array:
-    """:func:`tokenise` of a whole Arrow array at once."""
-    texts = pc.utf8_normalize(texts.cast(pa.string()), form="NFKC")
-    odd = pc.fill_null(pc.match_substring_regex(texts, _MARKED), False)
-    if pc.any(odd).as_py():
-        texts = pc.if_else(odd, pa.array([t.lower() if o else None for t, o in zip(texts.to_pylist(), odd.to_pylist())], pa.string()), texts)
+# ASCII bytes: letters in lower case and digits stay, all else separates
+_ASCII = np.array([b if chr(b).isalnum() else 32 for b in bytes(range(128)).lower()] + [32] * 128, dtype=np.uint8)
+
+
+def _spaced(texts: pa.Array) -> pa.Array:
+    """Folded texts in which anything but letters and digits is a blank."""
+    plain = pc.string_is_ascii(texts)
+    if pc.all(plain).as_py():
+        return _spaced_ascii(texts)
+    odd = pc.invert(plain)
+    return pc.replace_with_mask(_spaced_ascii(texts), odd, _spaced_any(texts.filter(odd)))
+
+
+def _spaced_ascii(texts: pa.Array) -> pa.Array:
+    """The same for texts without other characters (others get blanks in their place)."""
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[: offsets[-1] if len(offsets) else 0]
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(_ASCII[data]))
+
+
+def _spaced_any(texts: pa.Array) -> pa.Array:
+    texts = pc.utf8_normalize(texts, form="NFKC")
+    marked = pc.match_substring_regex(texts, _MARKED)
+    if pc.any(marked).as_py():
+        texts = pc.if_else(marked, pa.array([t.lower() if m else None for t, m in zip(texts.to_pylist(), marked.to_pylist())], pa.string()), texts)
     folded = pc.utf8_normalize(pc.utf8_lower(texts), form="NFD")
     folded = pc.utf8_normalize(pc.replace_substring_regex(folded, r"\p{Mn}+", ""), form="NFC")
-    spaced = pc.utf8_trim(pc.replace_substring_regex(folded, r"[^\p{L}\p{N}]+", " "), " ")
-    words = pc.split_pattern(pc.fill_null(spaced, ""), " ")
+    return pc.replace_substring_regex(folded, r"[^\p{L}\p{N}]+", " ")
+
+
+def token_array(texts: pa.Array) -> pa.Array:
+    """:func:`tokenise` of a whole Arrow array at once."""
+    words = pc.split_pattern(_spaced(pc.fill_null(texts.cast(pa.string()), "")), " ")
     values, ends = words.flatten(), words.value_lengths().to_numpy().cumsum()
     size = pc.utf8_length(values).to_numpy()
     keep = (size > 0) & (size <= MAX_TOKEN)

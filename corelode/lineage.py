@@ -16,9 +16,11 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local: list[str] = []
-_kept: dict[tuple, DataFrame] = {}
+_kept: dict[tuple, str] = {}
+_schemas: dict[str, StructType] = {}
 
 
 def hadoop_path(spark: SparkSession, where: str):
@@ -78,9 +80,25 @@ def kept(spark: SparkSession, sources: list[str], tag: str, build: Callable[[],
         at, path = hadoop_path(spark, s)
         status = at.getFileStatus(path)
         stamps.append((s, status.getLen(), status.getModificationTime()))
-    key = (spark.sparkContext.applicationId, tag, *stamps)
-    if key not in _kept:
-        _kept[key] = written(build(), tag, *by)
+
+    def make() -> str:
+        df = build()
+        path = store(df, tag, *by)
+        _schemas[path] = df.schema
+        return path
+
+    where = made_once(spark, (tag, *stamps), make)
+    return spark.read.schema(_schemas[where]).parquet(where)
+
+
+def made_once(spark: SparkSession, key: tuple, make: Callable[[], str]) -> str:
+    """The path that ``make`` wrote for a key in this application; made again if it is gone."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key in _kept:
+        at, path = hadoop_path(spark, _kept[key])
+        if at.exists(path):
+            return _kept[key]
+    _kept[key] = make()
     return _kept[key]
 
 

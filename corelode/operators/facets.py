@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import not_blank
+from ..lineage import local
 from . import filters as fl
 from .filters import FilterState
 
@@ -107,14 +109,17 @@ def index_counts(t: Tables, state: FilterState) -> DataFrame:
     if chosen is None:
         raise ValueError("a chosen node has no bit")
     src = fl.source_where(state.sources, t.known_sources, F.col("source"))
-    passes = {d: src & fl.mask_where({k: v for k, v in chosen.items() if k != d}) for d in t.dims}
-    listed = sorted((d, uri, bit) for (d, uri), bit in nodes.items() if d in passes)
-    counters = [F.count_if(passes[d] & (F.getbit(F.col(f"{d}_mask"), F.lit(bit)) == 1)).alias(f"n{k}") for k, (d, _, bit) in enumerate(listed)]
+    listed = sorted((d, uri, bit) for (d, uri), bit in nodes.items() if d in t.dims)
+    for d in t.dims:
+        base = base.withColumn(f"_pass_{d}", src & fl.mask_where({k: v for k, v in chosen.items() if k != d}))
+    # as text: a column a call would cost more than the counting
+    counters = [F.expr(f"count_if(`_pass_{d}` AND getbit(`{d}_mask`, {bit}) = 1)").alias(f"n{k}") for k, (d, _, bit) in enumerate(listed)]
     by = base.groupBy("source").agg(F.count_if(fl.mask_where(chosen)).alias("n"), *counters)
-    node = [F.struct(F.lit(d).alias("d"), F.lit(uri).alias("v"), F.col(f"n{k}").alias("n")) for k, (d, uri, _) in enumerate(listed)]
-    own = F.struct(F.lit("source").alias("d"), F.col("source").alias("v"), F.when(F.col("source").isNotNull(), F.col("n")).otherwise(F.lit(0)).alias("n"))
-    rows = by.select(F.explode(F.array(own, *node)).alias("z")).filter("z.n > 0")
-    return rows.groupBy(F.col("z.d").alias("facet_type"), F.col("z.v").alias("facet_value")).agg(F.sum("z.n").alias("count"))
+    # place 0 is the source's own count; it has a row a source, every node one in all
+    each = by.select("source", F.expr(f"posexplode(array({', '.join(['n', *(f'n{k}' for k in range(len(listed)))])})) as (k, n)")).filter("n > 0 and (k > 0 or source is not null)")
+    sums = each.groupBy("k", F.when(F.col("k") == 0, F.col("source")).alias("own")).agg(F.sum("n").alias("count"))
+    names = local(t.index.sparkSession, [(0, "source", None), *((k + 1, d, uri) for k, (d, uri, _) in enumerate(listed))], k=pa.int32(), facet_type=pa.string(), node=pa.string())
+    return sums.join(F.broadcast(names), "k").select("facet_type", F.coalesce("own", "node").alias("facet_value"), "count")  # a row a node
 
 
 def slow_counts(t: Tables, state: FilterState) -> DataFrame:

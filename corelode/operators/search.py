@@ -27,6 +27,7 @@ HOT_TOP = 500
 CAP_BYTES = 5 << 20
 COMPRESSION = 0.7  # first guess of a file's bytes by those of its values
 ATTEMPTS = 12
+PART_POSTINGS = 1_000_000  # postings of a token from which it is cut in parts
 STOPWORDS = frozenset("a an and at for from in is of on or the to was with".split())
 MIN_QUERY = 2
 

@@ -18,7 +18,7 @@ from ..functions import arrays as ar
 from ..functions import fingerprint as fp
 from ..functions import geo
 from ..functions import text as tx
-from ..lineage import fresh, forget_at_exit, kept, local
+from ..lineage import forget_at_exit, fresh, kept, local
 from ..operators import clusters, facets, graph, hierarchy, quality, search, setops, sync, views
 from ..operators import filters as fl
 from ..operators.filters import FilterState
@@ -255,7 +255,7 @@ def index(spark, sf):
 
 @query(f"{FULL} SELECT s.pid, s.source, coalesce(place_mask, 0) AS place_mask, coalesce(time_mask, 0) AS time_mask FROM samples s LEFT JOIN masks USING (pid)")
 def facet_index(spark, sf):
-    return hierarchy.index(samples(spark, sf), hierarchy.masks(member(spark, sf), _bits(spark, sf), DIMS), DIMS)
+    return index(spark, sf)
 
 
 @query(f"WITH {SAMPLES} SELECT source, count(*) AS count, (SELECT count(*) FROM samples) AS total_rows FROM samples WHERE trim(source) <> '' GROUP BY source")
@@ -697,7 +697,7 @@ def _fragments(spark, sf):
     return a.union(d.select(F.col("doc_id").cast("string"), F.lit("sample.label"), "source"))
 
 
-INDEX_CAP, INDEX_SHARDS = 200, 16
+HOT_POSTINGS, INDEX_SHARDS = 200, 16
 
 
 def _stored(spark, sf):
@@ -705,7 +705,7 @@ def _stored(spark, sf):
 
     def build():
         rows = search.with_df(search.postings(_fragments(spark, sf)))
-        return search.laid_out(rows, search.hot_tokens(rows, INDEX_CAP), INDEX_SHARDS).repartition("shard", "part").sortWithinPartitions("shard", "part", "token", "pid", "field")
+        return search.laid_out(rows, search.hot_tokens(rows, search.PART_POSTINGS), INDEX_SHARDS).repartition("shard", "part").sortWithinPartitions("shard", "part", "token", "pid", "field")
 
     return kept(spark, _sources(sf, "documents"), "search-index", build, "shard", "part")
 
@@ -742,13 +742,13 @@ def bm25_top(spark, sf):
 
 @query(f"WITH {_WORDS}, hot AS (SELECT token, count(*) AS postings FROM post GROUP BY token HAVING count(*) > 200) SELECT token, postings, CAST(greatest(2, ceil(postings / 200.0)) AS INTEGER) AS parts FROM hot")
 def hot_tokens(spark, sf):
-    return search.hot_tokens(_stored(spark, sf), INDEX_CAP)
+    return search.hot_tokens(_stored(spark, sf), HOT_POSTINGS)
 
 
 @query(f"WITH {_WORDS}, hot AS (SELECT token FROM post GROUP BY token HAVING count(*) > 200), per AS (SELECT token, pid, round(sum(c), 4) AS static_score FROM contrib JOIN hot USING (token) GROUP BY 1, 2) SELECT token, pid, static_score, row_number() OVER (PARTITION BY token ORDER BY static_score DESC, pid) AS rank FROM per QUALIFY rank <= 500")
 def hot_topk(spark, sf):
     p = _stored(spark, sf)
-    return search.hot_topk(p, _stats(spark, sf), search.hot_tokens(p, INDEX_CAP)).withColumn("rank", F.col("rank").cast("long"))
+    return search.hot_topk(p, _stats(spark, sf), search.hot_tokens(p, HOT_POSTINGS)).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(f"WITH {_WORDS} SELECT count(DISTINCT (pid, field)) AS documents, count(DISTINCT pid) AS samples, count(DISTINCT token) AS tokens, count(*) AS postings FROM post")

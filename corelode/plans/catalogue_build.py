@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as ar
 from ..functions import geo
 from ..functions import text as tx
-from ..lineage import fresh, forget_at_exit, kept, local
+from ..lineage import forget_at_exit, fresh, kept, local, made_once
 from ..operators import clusters, facets, graph, hierarchy, search, setops, sync, views
 from ..operators import filters as fl
 from ..sources import sinks, tables
@@ -328,7 +328,7 @@ def search_world(spark, sf):
 def topk_intersection(spark, sf):
     """The mode for common words only: their ready lists are intersected."""
     p = base._stored(spark, sf)
-    lists = search.hot_topk(p, base._stats(spark, sf), search.hot_tokens(p, base.INDEX_CAP))
+    lists = search.hot_topk(p, base._stats(spark, sf), search.hot_tokens(p, base.HOT_POSTINGS))
     return search.rank_topk(lists, ["that", "and"]).withColumn("score", F.round("score", 4))
 
 
@@ -350,25 +350,25 @@ def search_routes(spark, sf):
 @query(f"WITH {base._WORDS} SELECT token, pid, field, tf, doc_len, df FROM post JOIN dfs USING (token)")
 def index_on_disk(spark, sf):
     """All postings, read back from an index whose files keep to a cap of bytes."""
-    return search.open_index(spark, kept_path(spark, sf))[0].select("token", "pid", "field", "tf", "doc_len", "df")
+    return search.open_index(spark, written_index(spark, sf))[0].select("token", "pid", "field", "tf", "doc_len", "df")
 
 
-def kept_path(spark, sf):
-    """The index is written once for an application."""
-    if (key := (spark.sparkContext.applicationId, sf)) not in _INDEXES:
-        _INDEXES[key] = fresh(spark, "index")
-        search.write_index(base._stored(spark, sf).select("token", "pid", "field", "tf", "doc_len", "df"), _INDEXES[key], cap_bytes=1 << 17, shards=base.INDEX_SHARDS)
-        forget_at_exit(spark, _INDEXES[key])
-    return _INDEXES[key]
+def written_index(spark, sf):
+    """The path of the index, written once for an application."""
 
+    def make():
+        path = fresh(spark, "index")
+        search.write_index(base._stored(spark, sf).select("token", "pid", "field", "tf", "doc_len", "df"), path, cap_bytes=1 << 17, shards=base.INDEX_SHARDS)
+        forget_at_exit(spark, path)
+        return path
 
-_INDEXES: dict[tuple, str] = {}
+    return made_once(spark, ("index-on-disk", sf), make)
 
 
 @query(f"WITH {base._WORDS} SELECT pid, round(sum(c), 6) AS score FROM contrib WHERE token IN ('src3', 'thing') GROUP BY pid HAVING count(DISTINCT token) = 2 ORDER BY 2 DESC, 1 LIMIT 50")
 def search_on_disk(spark, sf):
     """A search that reads its shards and hot files of the written index only."""
-    rows, m = search.open_index(spark, kept_path(spark, sf))
+    rows, m = search.open_index(spark, written_index(spark, sf))
     m = search.Manifest(m.shards, {t: (k, p, b, True) for t, (k, p, b, _) in m.hot.items()}, m.sizes)
     return search.answer("thing src3", rows, base._stats(spark, sf), m).withColumn("score", F.round("score", 6))
 

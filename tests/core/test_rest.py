@@ -10,10 +10,11 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from corelode import lineage
 from corelode.functions import arrays as ar
 from corelode.functions import fingerprint as fp
 from corelode.operators import filters as fl
-from corelode.operators import quality, setops, views
+from corelode.operators import hierarchy, quality, setops, views
 from corelode.sources import sinks, tables
 from corelode.sources import vocabulary as vo
 from corelode.streaming.generation import Generation
@@ -279,3 +280,31 @@ def test_a_failed_rename_keeps_the_old_table():
     fresh = Disk({"new": 2})
     sinks.swap(fresh, "new", "t", "old")
     assert fresh.names == {"t": 2}
+
+
+def test_kept_tables_are_made_once_and_again_when_they_are_gone(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.range(3).write.parquet(src)
+    made = []
+    build = lambda: (made.append(1), spark.read.parquet(src))[1]
+    get = lambda: sorted(r.id for r in lineage.kept(spark, [src], "t", build).collect())
+    assert get() == get() == [0, 1, 2] and len(made) == 1
+    at, path = lineage.hadoop_path(spark, lineage.made_once(spark, next(k for k in lineage._kept if "t" in k)[1:], None))
+    at.delete(path, True)
+    assert get() == [0, 1, 2] and len(made) == 2
+    spark.range(4).write.mode("overwrite").parquet(src)
+    assert get() == [0, 1, 2, 3] and len(made) == 3
+
+
+def test_every_core_query_but_few_has_sql():
+    from corelode.plans import catalogue_build
+
+    assert set(catalogue_build.oracle_sql()) == set(catalogue_build.queries())
+
+
+def test_trees_of_any_size_close(spark):
+    chains = spark.range(20_000).selectExpr("cast(id as string) as uri", "case when id % 12 > 0 then cast(id - 1 as string) end as parent_uri")
+    a, b = hierarchy.closure(chains), hierarchy.closure_by_doubling(chains)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and b.count() == sum(k % 12 + 1 for k in range(20_000))
+    loop = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "a")], "uri string, parent_uri string")
+    assert {tuple(r) for r in hierarchy.closure_by_doubling(loop).collect()} == {tuple(r) for r in hierarchy.closure(loop).collect()}
