@@ -44,6 +44,7 @@ from . import scan, shared
 ORDER = 5
 Z_LOW, Z_HIGH, SLACK = 5.0, 5.0, 0.03
 PARTS_A_ROW = 1 << 12  # parts that one row lists for an n-gram
+PIECE_BYTES = 1 << 19
 BOS = 2
 UNKNOWN = "und"
 ADDED = ("log_ppl", "n_units", "perplexity")
@@ -57,24 +58,35 @@ for _b in range(256):
     _UNIT[_b] = _b >= 0x80 or chr(_b).isalnum()
 
 
-def _codes(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(n-gram code at every byte, owner row of every byte, word bytes per row)."""
+def _codes(texts: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(n-gram code at every byte, owner row of every byte, word bytes per row), once or more often.
+
+    A text of more than ``PIECE_BYTES`` is read in pieces, so memory does not grow with its length.
+    """
     raw, offsets = scan.buffers(texts)
     rows = len(offsets) - 1
-    sizes = np.diff(offsets)
-    owner = np.repeat(np.arange(rows), sizes)
     pad = order - 1
+    if rows == 1 and len(raw) > PIECE_BYTES:
+        before = np.full(pad, BOS, dtype=np.uint8)
+        for lo in range(0, len(raw), PIECE_BYTES):
+            piece = raw[lo : lo + PIECE_BYTES]
+            window = np.concatenate([before, _MAP[piece]])
+            code = np.zeros(len(piece), dtype=np.uint64)
+            for k in range(order):
+                code <<= np.uint64(8)
+                code |= window[k : k + len(piece)]
+            before = window[len(window) - pad :]
+            yield code, np.zeros(len(piece), dtype=np.int64), np.array([np.count_nonzero(_UNIT[piece])])
+        return
+    owner = np.repeat(np.arange(rows), np.diff(offsets))
     padded = np.full(len(raw) + pad * rows, BOS, dtype=np.uint8)
     at = np.arange(len(raw)) + (owner + 1) * pad
-    mapped = _MAP[raw]
-    padded[at] = mapped
-    padded = padded.astype(np.uint64)
+    padded[at] = _MAP[raw]
     code = np.zeros(len(raw), dtype=np.uint64)
     for back in range(pad, -1, -1):
         code <<= np.uint64(8)
         code |= padded[at - back]
-    units = np.bincount(owner, weights=_UNIT[raw], minlength=rows).astype(np.int64)
-    return code, owner, units
+    yield code, owner, np.bincount(owner, weights=_UNIT[raw], minlength=rows).astype(np.int64)
 
 
 def _languages(batch: pa.RecordBatch, lang: str) -> Iterator[tuple[str, np.ndarray]]:
@@ -103,8 +115,7 @@ def gather(held: DataFrame, order: int = ORDER, text: str = "text", lang: str =
                 mine = batch.take(pa.array(at))
                 for name, rows in _languages(mine, "lang"):
                     texts = mine.column("text").take(pa.array(rows))
-                    for i, j in scan.slices(texts):
-                        code, _, _ = _codes(texts.slice(i, j - i), order)
+                    for code, _, _ in (x for i, j in scan.slices(texts) for x in _codes(texts.slice(i, j - i), order)):
                         if not len(code):
                             continue
                         code.sort()
@@ -254,11 +265,11 @@ def _scores(held: DataFrame, gathered: DataFrame, values: DataFrame, order: int,
                 for name, at in _languages(mine, "lang"):
                     texts = mine.column("text").take(pa.array(at))
                     for i, j in scan.slices(texts):
-                        code, owner, n = _codes(texts.slice(i, j - i), order)
-                        if len(code):
-                            v = models[name].values[0][models[name].find(scan.mix(code))]
-                            total[at[i:j]] = np.bincount(owner, weights=v, minlength=j - i)
-                        units[at[i:j]] = n
+                        for code, owner, n in _codes(texts.slice(i, j - i), order):
+                            if len(code):
+                                v = models[name].values[0][models[name].find(scan.mix(code))]
+                                total[at[i:j]] += np.bincount(owner, weights=v, minlength=j - i)
+                            units[at[i:j]] += n
                 size = pc.fill_null(pc.binary_length(mine.column("text")), 0).to_numpy(zero_copy_only=False)
                 nll = pa.array(-total / np.maximum(units, 1), mask=size == 0)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), part)), mine.column(shared.ROW), pc.fill_null(mine.column("lang"), UNKNOWN), nll, pa.array(units)], ["part", shared.ROW, "lang", "log_ppl", "n_units"])

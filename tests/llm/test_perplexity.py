@@ -149,3 +149,14 @@ def test_sorted_hashes_find_what_is_there():
     t = P.SortedHashes(keys, np.arange(1000, dtype=np.float32))
     assert t.values[0][t.find(keys)].tolist() == list(range(1000))
     assert np.isnan(t.values[0][t.find(mix(np.arange(2000, 3000, dtype=np.uint64)))]).all()
+
+
+def test_pieces_of_a_long_text_are_the_whole(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    text = pa.array(["é one 2 three!\n" * 40])
+    (whole,) = P._codes(text, 5)
+    monkeypatch.setattr(P, "PIECE_BYTES", 7)
+    pieces = list(P._codes(text, 5))
+    assert len(pieces) > 50 and np.array_equal(np.concatenate([c for c, _, _ in pieces]), whole[0]) and sum(n[0] for _, _, n in pieces) == whole[2][0]
